@@ -44,7 +44,7 @@ def _decoder_sql() -> str:
     short = "|".join(sorted((n for n in names if not n.endswith(";")), key=len, reverse=True))
 
     def by_name(key: str) -> str:
-        return sql_lookup(named, key, BUCKETS)
+        return sql_lookup("named", key, BUCKETS)
 
     # A leading space keeps U+FEFF from being taken for a byte-order mark.
     character = "substr(decode(unhex(concat('00000020', lpad(hex(code), 8, '0'))), 'UTF-32'), 2)"
@@ -71,7 +71,8 @@ def _decoder_sql() -> str:
         {sql_let('name', 'substr(ref, 2)', from_name)})"""
     rebuilt = f"""array_join(transform(split(text, {sql_raw(REFERENCE)}, -1), (piece, i) ->
         if(i = 0, piece, concat({sql_let('ref', 'get(refs, i - 1)', decoded)}, piece))), '')"""
-    return "text -> " + sql_let("refs", f"regexp_extract_all(text, {sql_raw(REFERENCE)}, 0)", rebuilt)
+    refs = f"regexp_extract_all(text, {sql_raw(REFERENCE)}, 0)"
+    return "text -> " + sql_let("named", named, sql_let("refs", refs, rebuilt))
 
 
 def html_unescape(text: Column) -> Column:

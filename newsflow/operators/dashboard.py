@@ -75,10 +75,10 @@ def kpis(df: DataFrame) -> DataFrame:
 
 def articles_over_time(df: DataFrame) -> DataFrame:
     """Articles per clock hour; hours without articles are absent."""
-    hours = df.where(F.col("processed_at").isNotNull()).select(
-        F.date_trunc("HOUR", "processed_at").alias("processed_at")
-    )
-    return hours.groupBy("processed_at").agg(F.count(F.lit(1)).alias("count")).orderBy("processed_at")
+    hour = F.date_trunc("HOUR", "processed_at").cast(df.schema["processed_at"].dataType)
+    hours = df.where(F.col("processed_at").isNotNull()).select(hour.alias("processed_at"))
+    counted = hours.groupBy("processed_at").agg(F.count(F.lit(1)).alias("count"))
+    return counted.orderBy("processed_at")
 
 
 def top_keywords(df: DataFrame, limit: int = R.DEFAULT_TOP_KEYWORDS) -> DataFrame:

@@ -8,23 +8,21 @@ from pyspark.sql import functions as F
 from newsflow.functions import keywords as K
 from newsflow.functions import sentiment as S
 from newsflow.functions import text as X
-from newsflow.operators.sentiment import score_sentiment
+from newsflow.operators.sentiment import score_with_marks
 from newsflow.schemas import PROCESSED
 
 
 def enrich_text(df: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
     """Add ``title_clean``, ``full_text``, ``keywords`` and ``text_length`` to raw articles."""
-    cleaned = df.withColumns(
+    # One expression cleans all three fields, so its constant tables are in the plan once.
+    raw = F.array("title", "summary", "content")
+    cleaned = df.withColumn("_clean", F.transform(raw, X.clean))
+    joined = cleaned.withColumns(
         {
-            "title_clean": X.clean(F.col("title")),
-            "summary_clean": X.clean(F.col("summary")),
-            "content_clean": X.clean(F.col("content")),
+            "title_clean": F.get("_clean", F.lit(0)),
+            "full_text": X.join_text(*(F.get("_clean", F.lit(i)) for i in range(3))),
         }
-    )
-    joined = cleaned.withColumn(
-        "full_text",
-        X.join_text(F.col("title_clean"), F.col("summary_clean"), F.col("content_clean")),
-    ).drop("summary_clean", "content_clean")
+    ).drop("_clean")
     return joined.withColumns(
         {
             "keywords": K.extract_keywords(F.col("full_text"), top_n),
@@ -35,16 +33,15 @@ def enrich_text(df: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
 
 def process_articles(
     df: DataFrame,
-    lexicon: DataFrame,
-    boosters: DataFrame | None = None,
-    negations: DataFrame | None = None,
+    marks: DataFrame,
     rules: S.Rules = S.Rules(),
     processed_at: Column | None = None,
     lookup: str = "auto",
 ) -> DataFrame:
-    """Raw articles to the stored schema; row-local, so one plan serves batch and stream."""
-    scored = score_sentiment(
-        enrich_text(df), lexicon, boosters, negations, rules=rules, lookup=lookup
-    )
+    """Raw articles to the stored schema, scored against ``token_marks`` tables.
+
+    The work is row-local (while the marks are small), so articles are never shuffled.
+    """
+    scored = score_with_marks(enrich_text(df), marks, rules, lookup=lookup)
     stamp = F.current_timestamp() if processed_at is None else processed_at
     return scored.withColumn("processed_at", stamp).select(*PROCESSED.fieldNames())

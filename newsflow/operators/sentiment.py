@@ -28,7 +28,7 @@ def sample_lexicon(spark: SparkSession) -> DataFrame:
 def token_marks(
     lexicon: DataFrame, boosters: DataFrame | None = None, negations: DataFrame | None = None
 ) -> DataFrame:
-    """One row per token with everything the scorer knows about it: ``(token, mark)``."""
+    """One row per token with all the scorer knows: ``(token, valence, delta, negates)``."""
     none = F.lit(None)
     parts = lexicon.select(
         "token",
@@ -54,12 +54,11 @@ def token_marks(
                 F.lit(True).alias("negates"),
             )
         )
-    merged = parts.groupBy("token").agg(
+    return parts.groupBy("token").agg(
         F.max("valence").alias("valence"),
         F.max("delta").alias("delta"),
         F.max("negates").alias("negates"),
     )
-    return merged.select("token", F.struct("valence", "delta", "negates").alias("mark"))
 
 
 def mark_index(marks: DataFrame) -> Column:
@@ -119,25 +118,36 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
     return keyed.join(scores, "_text_key", "left").drop("_text_key")
 
 
-def score_sentiment(
+def score_with_marks(
     df: DataFrame,
-    lexicon: DataFrame,
-    boosters: DataFrame | None = None,
-    negations: DataFrame | None = None,
+    marks: DataFrame,
     rules: S.Rules = S.Rules(),
     text: str = "full_text",
     lookup: str = "auto",
 ) -> DataFrame:
-    """Add the label and the four scores of ``text`` to every row.
+    """Add the label and the four scores of ``text``; ``marks`` as from :func:`token_marks`.
 
-    A lexicon within the checked bound is searched inside each row, with no shuffle of the
-    articles; beyond it (or with ``lookup='join'``) a shuffle join does the same look-up.
+    Marks within the checked bound are searched inside each row, with no shuffle of the articles;
+    beyond it (or with ``lookup='join'``) a shuffle join does the same look-up.
     """
     if lookup not in ("auto", "index", "join"):
         raise ValueError(f"lookup must be auto, index or join, not {lookup!r}")
-    marks = token_marks(lexicon, boosters, negations)
+    paired = marks.select("token", F.struct("valence", "delta", "negates").alias("mark"))
     if lookup == "auto":
-        lookup = "index" if is_small(marks) else "join"
+        lookup = "index" if is_small(paired) else "join"
     score_by = _score_by_index if lookup == "index" else _score_by_join
-    scored = score_by(df, text, marks, rules)
+    scored = score_by(df, text, paired, rules)
     return scored.withColumns(S.sentiment_columns(F.col(text), F.col("_score"))).drop("_score")
+
+
+def score_sentiment(
+    df: DataFrame,
+    lexicon: DataFrame,
+    boosters: DataFrame | None = None,
+    negations: DataFrame | None = None,
+    rules: S.Rules = S.Rules(),
+    text: str = "full_text",
+    lookup: str = "auto",
+) -> DataFrame:
+    """Score against separate lexicon, degree-word and negation tables."""
+    return score_with_marks(df, token_marks(lexicon, boosters, negations), rules, text, lookup)

@@ -87,27 +87,27 @@ def _corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.explode(words).alias("token")).distinct()
 
 
-def lexicon_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stand-in lexicon of the corpus's own words, which no real lexicon would hit."""
+def marks_from_documents(spark: SparkSession, sf_dir: str, context: bool = True) -> DataFrame:
+    """Stand-in valences (and degree words and negations) of the corpus's own words.
+
+    No real lexicon would hit the invented words. One pass finds the vocabulary.
+    """
     token = F.col("token")
     valence = (
         F.ascii(F.substring(token, 1, 1)) * 7
         + F.ascii(F.substring(token, 2, 1)) * 3
         + F.length(token)
     ) % 9 - 4
-    scored = _corpus_words(spark, sf_dir).where(F.length(token) % 3 == 0)
-    return scored.select("token", valence.cast("double").alias("valence")).where("valence <> 0")
-
-
-def boosters_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    token = F.col("token")
     sign = F.when(F.ascii(token) % 2 == 0, 0.293).otherwise(-0.293)
-    chosen = _corpus_words(spark, sf_dir).where(F.length(token) % 5 == 4)
-    return chosen.select("token", sign.alias("delta"))
-
-
-def negations_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _corpus_words(spark, sf_dir).where(F.length("token") % 7 == 4)
+    marked = _corpus_words(spark, sf_dir).select(
+        "token",
+        F.when((F.length(token) % 3 == 0) & (valence != 0), valence.cast("double")).alias(
+            "valence"
+        ),
+        F.when(F.lit(context) & (F.length(token) % 5 == 4), sign).alias("delta"),
+        F.when(F.lit(context) & (F.length(token) % 7 == 4), True).alias("negates"),
+    )
+    return marked.dropna(how="all", subset=["valence", "delta", "negates"])
 
 
 def arrivals_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:

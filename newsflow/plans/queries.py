@@ -15,7 +15,7 @@ from newsflow.operators import dashboard as D
 from newsflow.operators import reports as R
 from newsflow.operators.enrich import enrich_text, process_articles
 from newsflow.operators.identity import article_id, dedupe_first_wins
-from newsflow.operators.sentiment import score_sentiment
+from newsflow.operators.sentiment import score_with_marks
 from newsflow.plans import adapters as A
 from newsflow.schemas import RAW_FIELDS
 from newsflow.sources.articles import decode_articles, encode_articles
@@ -72,32 +72,33 @@ def article_text_pages(spark, sf):
 # Keywords
 
 
-def _words(spark, sf, keep_stop_words: bool = False) -> DataFrame:
-    words = K.tokenize(F.col("text"))
-    if not keep_stop_words:
-        words = K.drop_stop_words(words)
-    return A.table(spark, sf, "documents").select("doc_id", words.alias("words"))
+# The array goes straight into the generator: behind a column name the optimizer would add a filter
+# on its size and so evaluate it twice.
+
+
+def _documents(spark, sf, *columns: Column) -> DataFrame:
+    return A.table(spark, sf, "documents").select("doc_id", *columns)
+
+
+def _words() -> Column:
+    return K.drop_stop_words(K.tokenize(F.col("text")))
 
 
 def tokenize(spark, sf):
-    words = _words(spark, sf, keep_stop_words=True)
-    return words.select("doc_id", F.posexplode("words").alias("pos", "word"))
+    return _documents(spark, sf, F.posexplode(K.tokenize(F.col("text"))).alias("pos", "word"))
 
 
 def stopword_filter(spark, sf):
-    return _words(spark, sf).select("doc_id", F.posexplode("words").alias("pos", "word"))
+    return _documents(spark, sf, F.posexplode(_words()).alias("pos", "word"))
 
 
 def term_frequency(spark, sf):
-    terms = _words(spark, sf).select("doc_id", K.term_frequency(F.col("words")).alias("terms"))
-    return terms.select("doc_id", F.inline("terms"))
+    return _documents(spark, sf, F.inline(K.term_frequency(_words())))
 
 
 def top_terms_per_article(spark, sf):
-    terms = _words(spark, sf).select("doc_id", K.top_terms(F.col("words")).alias("terms"))
-    return terms.select("doc_id", F.posexplode("terms").alias("pos", "word")).select(
-        "doc_id", (F.col("pos") + 1).alias("rank"), "word"
-    )
+    terms = _documents(spark, sf, F.posexplode(K.top_terms(_words())).alias("pos", "word"))
+    return terms.select("doc_id", (F.col("pos") + 1).alias("rank"), "word")
 
 
 def article_keywords(spark, sf):
@@ -111,11 +112,9 @@ def _scored(spark, sf, lookup: str = "auto", context: bool = False) -> DataFrame
     documents = A.table(spark, sf, "documents").select(
         "doc_id", X.clean(F.col("text")).alias("full_text")
     )
-    return score_sentiment(
+    return score_with_marks(
         documents,
-        A.lexicon_from_documents(spark, sf),
-        A.boosters_from_documents(spark, sf) if context else None,
-        A.negations_from_documents(spark, sf) if context else None,
+        A.marks_from_documents(spark, sf, context),
         rules=S.Rules(context=context),
         lookup=lookup,
     )
@@ -150,9 +149,7 @@ def classify_sentiment(spark, sf):
 def _processed(spark, sf) -> DataFrame:
     return process_articles(
         A.articles_from_documents(spark, sf, "processed_at"),
-        A.lexicon_from_documents(spark, sf),
-        A.boosters_from_documents(spark, sf),
-        A.negations_from_documents(spark, sf),
+        A.marks_from_documents(spark, sf),
         processed_at=F.col("processed_at"),
     )
 
