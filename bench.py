@@ -36,7 +36,6 @@ def session(cpus: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("newsflow-bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.files.maxPartitionBytes", "4m")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -67,7 +66,10 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
     spark = session(cpus)
-    seconds = {name: timed(QUERIES[name], spark, sf_dir, runs) for name in chosen}
+    seconds = {}
+    for name in chosen:
+        seconds[name] = timed(QUERIES[name], spark, sf_dir, runs)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()
     report = {
         "metric": "headline queries, median of warm runs, summed",

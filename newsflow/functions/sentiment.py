@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from newsflow.functions.bind import apply_sql, sql_let, sql_lookup, sql_raw
 from newsflow.functions.text import SPACE, is_blank, or_empty
 
-BUCKETS = 4096
+BUCKETS = 16384
 # Compound scores at or beyond these bounds count as positive or negative.
 POSITIVE_FROM = 0.05
 NEGATIVE_UP_TO = -0.05

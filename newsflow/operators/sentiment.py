@@ -63,18 +63,19 @@ def token_marks(
 
 def mark_index(marks: DataFrame) -> Column:
     """The marks of a small table as one value, searched inside the row (see ``sql_lookup``)."""
-    bucket = F.pmod(F.crc32(F.col("token").cast("binary")), F.lit(S.BUCKETS)).cast("int")
-    buckets = marks.groupBy(bucket.alias("bucket")).agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "mark"))).alias("marks")
+    buckets = F.lit(S.BUCKETS - 1)
+    listed = marks.select(
+        F.crc32(F.col("token").cast("binary")).bitwiseAND(buckets).cast("int").alias("bucket"),
+        F.struct("token", "mark").alias("entry"),
     )
-    whole = buckets.agg(
-        F.map_from_entries(F.collect_list(F.struct("bucket", "marks"))).alias("filled")
+    # Every bucket is there, also an empty one, so a bucket's number is its place in the array.
+    numbers = marks.sparkSession.range(0, S.BUCKETS, 1, 1).select(
+        F.col("id").cast("int").alias("bucket"), F.lit(None).alias("entry")
     )
-    return whole.select(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(S.BUCKETS - 1)),
-            lambda b: F.try_element_at(F.col("filled"), b),
-        )
+    grouped = listed.union(numbers).groupBy("bucket").agg(F.collect_list("entry").alias("entries"))
+    in_order = grouped.agg(F.sort_array(F.collect_list(F.struct("bucket", "entries"))).alias("all"))
+    return in_order.select(
+        F.transform("all", lambda bucket: F.map_from_entries(bucket["entries"]))
     ).scalar()
 
 

@@ -22,3 +22,13 @@ def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Hint a broadcast for a checked small side; a larger side is left to a shuffle join."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Deal a table that arrives in fewer pieces than there are cores out to all of them.
+
+    Text work is heavy per row, and a small table may be a single row group. A table of many
+    splits, as any large one, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df

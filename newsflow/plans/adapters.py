@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.functions import keywords as K
+from newsflow.operators.sizing import spread_if_narrow
 from newsflow.sources.feeds import CATEGORIES
 
 
@@ -13,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a text table, ready for work that is heavy per row."""
+    return spread_if_narrow(table(spark, sf_dir, name).select(*columns))
+
+
 def category_of(position: Column) -> Column:
     return F.get(F.array(*[F.lit(c) for c in CATEGORIES]), position)
 
@@ -24,7 +30,7 @@ def host_of(url: str) -> Column:
 def articles_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as raw articles: real markup, script bodies and entities."""
     null = F.lit(None).cast("string")
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages", "page_id", "url", "html").select(
         F.md5("url").alias("id"),
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.lit("").alias("summary"),
@@ -44,7 +50,7 @@ def articles_from_documents(spark: SparkSession, sf_dir: str, *carried: str) ->
     key = F.col("doc_id").cast("string")
     stamp = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id * 977)")
     return (
-        table(spark, sf_dir, "documents")
+        texts(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
         .withColumn("processed_at", stamp)
         .select(
             F.md5(key).alias("id"),
@@ -84,7 +90,8 @@ def processed_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = K.tokenize(F.col("text"))
-    return table(spark, sf_dir, "documents").select(F.explode(words).alias("token")).distinct()
+    documents = texts(spark, sf_dir, "documents", "text")
+    return documents.select(F.explode(words).alias("token")).distinct()
 
 
 def marks_from_documents(spark: SparkSession, sf_dir: str, context: bool = True) -> DataFrame:
@@ -153,4 +160,5 @@ def feed_documents_from_conversations(spark: SparkSession, sf_dir: str) -> DataF
         entry("text", _xml(F.col("text"))),
         F.lit("</channel>"),
     )
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", document.alias("xml"))
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return turns.select("conv_id", "turn", document.alias("xml"))

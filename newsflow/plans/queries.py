@@ -40,13 +40,13 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _on_pages(step: Callable[[Column], Column]) -> Query:
-    return lambda spark, sf: A.table(spark, sf, "pages").select(
+    return lambda spark, sf: A.texts(spark, sf, "pages", "page_id", "html").select(
         "page_id", step(F.col("html")).alias("text")
     )
 
 
 def _on_documents(step: Callable[[Column], Column]) -> Query:
-    return lambda spark, sf: A.table(spark, sf, "documents").select(
+    return lambda spark, sf: A.texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", step(F.col("text")).alias("text")
     )
 
@@ -77,7 +77,7 @@ def article_text_pages(spark, sf):
 
 
 def _documents(spark, sf, *columns: Column) -> DataFrame:
-    return A.table(spark, sf, "documents").select("doc_id", *columns)
+    return A.texts(spark, sf, "documents", "doc_id", "text").select("doc_id", *columns)
 
 
 def _words() -> Column:
@@ -109,7 +109,7 @@ def article_keywords(spark, sf):
 
 
 def _scored(spark, sf, lookup: str = "auto", context: bool = False) -> DataFrame:
-    documents = A.table(spark, sf, "documents").select(
+    documents = A.texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", X.clean(F.col("text")).alias("full_text")
     )
     return score_with_marks(
