@@ -118,9 +118,8 @@ def _rule_values(rules: Rules) -> str:
 
 
 def _emphasis(rules: Rules) -> str:
-    """SQL for the weight of exclamation and question marks in ``row.text``."""
-    exclamations = "(length(row.text) - length(replace(row.text, '!', '')))"
-    questions = "(length(row.text) - length(replace(row.text, '?', '')))"
+    """SQL for the weight of the exclamation and question marks counted in ``row``."""
+    exclamations, questions = "row.exclamations", "row.questions"
     return f"""(least({exclamations}, {rules.exclamation_max}) * {rules.exclamation}D
         + case when {questions} <= 1 then 0D
           when {questions} <= {rules.question_max_count} then {questions} * {rules.question}D
@@ -170,21 +169,35 @@ def _scorer_sql(rules: Rules, marks: str) -> str:
     return "row -> " + sql_let("low", "transform(row.tokens, word -> lower(word))", body)
 
 
-def score_text(text: Column, rules: Rules, index: Column | None, marks: Column | None) -> Column:
-    """``struct<compound, shares<pos, neg, neu>>`` in doubles.
+def mark_counts(text: Column) -> dict[str, Column]:
+    """How many exclamation and question marks a text holds."""
+    whole = or_empty(text)
 
-    Either ``index`` (an ``array<map<token, mark>>`` spread over ``BUCKETS``) is searched for every
-    token, or ``marks`` already holds one mark (or NULL) per token of :func:`split_tokens`.
-    """
-    if marks is not None:
-        source, found = marks.alias("given"), "row.given"
-    else:
-        source = index.alias("index")
-        found = f"transform(low, word -> {sql_lookup('row.index', 'word', BUCKETS)})"
-    row = F.struct(or_empty(text).alias("text"), split_tokens(text).alias("tokens"), source)
+    def count(mark: str) -> Column:
+        return F.length(whole) - F.length(F.replace(whole, F.lit(mark), F.lit("")))
+
+    return {"exclamations": count("!"), "questions": count("?")}
+
+
+def _score(rules: Rules, found: str, **fields: Column) -> Column:
+    row = F.struct(*(column.alias(name) for name, column in fields.items()))
     return apply_sql(row, _scorer_sql(rules, found))
 
 
+def score_by_index(text: Column, index: Column, rules: Rules) -> Column:
+    """``struct<compound, shares<pos, neg, neu>>`` of a text, in doubles.
+
+    ``index`` is an ``array<map<token, mark>>`` spread over ``BUCKETS``, searched per token.
+    """
+    found = f"transform(low, word -> {sql_lookup('row.index', 'word', BUCKETS)})"
+    return _score(rules, found, tokens=split_tokens(text), index=index, **mark_counts(text))
+
+
+def score_marked(tokens: Column, marks: Column, counts: dict[str, Column], rules: Rules) -> Column:
+    """The same from tokens that already have their mark (or NULL) beside them."""
+    return _score(rules, "row.marks", tokens=tokens, marks=marks, **counts)
+
+
 def classify(compound: Column) -> Column:
     """Three-way label of a compound score (taken before the score is narrowed to 32 bits)."""
     return (

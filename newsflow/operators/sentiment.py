@@ -83,7 +83,7 @@ def _score_by_index(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules)
     # Used once, the subquery is folded into the score's projection: its value is computed one
     # time per query and the rows never carry it.
     indexed = df.withColumn("_index", mark_index(marks))
-    score = S.score_text(F.col(text), rules, F.col("_index"), None)
+    score = S.score_by_index(F.col(text), F.col("_index"), rules)
     return indexed.withColumn("_score", score).drop("_index")
 
 
@@ -96,26 +96,26 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
     """
     keyed = df.withColumn("_text_key", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     texts = keyed.select("_text_key", F.col(text).alias("_text")).dropDuplicates(["_text_key"])
+    counts = S.mark_counts(F.col("_text"))
     tokens = texts.select(
-        "_text_key", F.posexplode(S.split_tokens(F.col("_text"))).alias("pos", "word")
-    ).select(
         "_text_key",
-        "pos",
-        F.lower("word").alias("token"),
-        F.pmod("pos", F.lit(SALTS)).alias("_salt"),
-    )
+        *(column.alias(name) for name, column in counts.items()),
+        F.posexplode(S.split_tokens(F.col("_text"))).alias("pos", "word"),
+    ).withColumns({"token": F.lower("word"), "_salt": F.pmod("pos", F.lit(SALTS))})
     salted = marks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    marked = (
+    # The collected list is one text's tokens: no larger than the text it came from.
+    found = (
         tokens.join(salted, ["token", "_salt"], "left")
-        .groupBy("_text_key")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "mark"))).alias("found"))
-        .select("_text_key", F.transform("found", lambda f: f["mark"]).alias("marks"))
+        .groupBy("_text_key", *counts)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "word", "mark"))).alias("found"))
     )
-    scores = (
-        texts.join(marked, "_text_key")
-        .withColumn("_score", S.score_text(F.col("_text"), rules, None, F.col("marks")))
-        .select("_text_key", "_score")
+    score = S.score_marked(
+        F.transform("found", lambda f: f["word"]),
+        F.transform("found", lambda f: f["mark"]),
+        {name: F.col(name) for name in counts},
+        rules,
     )
+    scores = found.select("_text_key", score.alias("_score"))
     return keyed.join(scores, "_text_key", "left").drop("_text_key")
 
 

@@ -89,7 +89,7 @@ def processed_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _corpus_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = K.tokenize(F.col("text"))
+    words = F.array_distinct(K.tokenize(F.col("text")))
     documents = texts(spark, sf_dir, "documents", "text")
     return documents.select(F.explode(words).alias("token")).distinct()
 
