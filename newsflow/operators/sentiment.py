@@ -97,10 +97,10 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
     keyed = df.withColumn("_text_key", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
     texts = keyed.select("_text_key", F.col(text).alias("_text")).dropDuplicates(["_text_key"])
     counts = S.mark_counts(F.col("_text"))
-    tokens = texts.select(
-        "_text_key",
-        *(column.alias(name) for name, column in counts.items()),
-        F.posexplode(S.split_tokens(F.col("_text"))).alias("pos", "word"),
+    # Counted before the explode: next to the generator they would be counted per token.
+    counted = texts.withColumns(counts)
+    tokens = counted.select(
+        "_text_key", *counts, F.posexplode(S.split_tokens(F.col("_text"))).alias("pos", "word")
     ).withColumns({"token": F.lower("word"), "_salt": F.pmod("pos", F.lit(SALTS))})
     salted = marks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # The collected list is one text's tokens: no larger than the text it came from.
