@@ -1,0 +1,30 @@
+"""Tables written between jobs, in the folder that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder under ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder is chosen for a local session; on a cluster the
+    setting is asked for, as a folder of one machine would be seen by that machine alone.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="newsflow-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/newsflow/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored as Parquet and read back: its lineage ends at the shared folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

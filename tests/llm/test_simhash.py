@@ -1,0 +1,137 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from newsflow.llm import simhash
+from newsflow.llm.components import components
+
+SCHEMA = "doc_id long, text string, fingerprint string, print long, root string"
+
+
+def brute_print(text, words=4):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for blank in "\t\n\x0b\x0c\r":
+        low = low.replace(blank, " ")
+    found = [w for w in low.split(" ") if w]
+    if not found:
+        return 0
+    n = max(1, len(found) - words + 1)
+    hashes = [xxhash.xxh64_intdigest(" ".join(found[i : i + words]), 42) for i in range(n)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+
+
+def brute(rows, bits=4):
+    prints = {p: None for _, t in rows for p in [brute_print(t)]}
+    values = sorted(prints)
+    array, parent = np.array(values, dtype=np.uint64), list(range(len(values)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(values)):
+        for j in np.flatnonzero(np.bitwise_count(array ^ array[i]) <= bits):
+            parent[max(root(i), root(int(j)))] = min(root(i), root(int(j)))
+    least = {}
+    for doc_id, text in rows:
+        r = root(values.index(brute_print(text)))
+        known = [x for x in (least.get(r), doc_id) if x is not None]
+        least[r] = min(known) if known else None
+    return sorted(
+        ((i, f"{brute_print(t):016x}", least[root(values.index(brute_print(t)))]) for i, t in rows),
+        key=repr,
+    )
+
+
+def result(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def edited(rng, words, share):
+    return [rng.choice("abcdefghij") * 3 if rng.random() < share else w for w in words]
+
+
+def sample(rng, n):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, "ÄÖ x\xa0y z q r"),
+            (7, "long " * 40_000), (8, "a b c d"), (8, "a b c d"), (None, "a b c d"),
+            (None, "alone here one two three")]
+    base = [f"w{rng.randrange(500)}" for _ in range(300)]
+    for i in range(n):
+        words = base if i % 3 == 0 else [f"w{rng.randrange(500)}" for _ in range(60)]
+        rows.append((100 + i, " ".join(edited(rng, words, 0.02) if i % 3 == 0 else words)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_groups_equal_brute_force(frame):
+    rows = sample(random.Random(5), 250)
+    df = frame([(*r, "f", 1, "r") for r in rows], SCHEMA)
+    found = result(simhash.near_groups(df))
+    assert found == brute(rows)
+    assert max(len([1 for r in found if r[2] == c]) for c in {r[2] for r in found}) > 20
+
+
+def test_whole_table(spark, documents):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in documents]
+    assert result(simhash.near_groups(df)) == brute(rows)
+
+
+def test_large_groups_are_cut_into_pieces_that_all_meet(frame, monkeypatch):
+    monkeypatch.setattr(simhash, "PIECE", 16)
+    monkeypatch.setattr(simhash, "BATCH", 50)
+    monkeypatch.setattr(simhash, "PAIRS", 40)
+    rows = sample(random.Random(6), 200)
+    df = frame([(*r, "f", 1, "r") for r in rows], SCHEMA)
+    assert result(simhash.near_groups(df)) == brute(rows)
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 4, 7])
+def test_trie_pairs_equal_all_pairs(bits, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRS", 100)
+    rng = np.random.default_rng(bits)
+    seeds = rng.integers(0, 2**63, size=40, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, size=(40, 8)).astype(np.uint64)
+    values = np.unique(np.concatenate([seeds[:, None] ^ flips, seeds[:, None]], axis=1).ravel())
+    found = set()
+    whole = (np.array([0]), np.array([len(values)]))
+    for i, j in simhash.trie_links(values, *whole, bits):
+        found |= set(zip(i.tolist(), j.tolist()))
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= bits
+    assert found == {(i, j) for i, j in np.argwhere(near).tolist() if i < j}
+
+
+@pytest.mark.parametrize("classes", [10, 10**6, 10**8, 10**10])
+def test_some_choice_agrees_for_every_error_pattern(classes):
+    masks = simhash.block_choices(4, classes)
+    rng = random.Random(classes)
+    for _ in range(2000):
+        error = sum(1 << b for b in rng.sample(range(64), 4))
+        assert any(not error & m for m in masks)
+    assert len(simhash.block_choices(4, 10)) == 5 < len(simhash.block_choices(4, 10**9))
+
+
+def test_kept_documents(frame):
+    rows = sample(random.Random(7), 90)
+    df = frame([(*r, "f", 1, "r") for r in rows], SCHEMA)
+    kept = simhash.drop_near_copies(df)
+    assert kept.schema == df.schema
+    expected = sorted((i for i, _, c in brute(rows) if i == c or i is None), key=repr)
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == expected
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.near_groups(df).collect() == []
+    assert simhash.drop_near_copies(df).collect() == []
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.range(300).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    edges = edges.unionByName(edges.select(F.lit(1000).alias("u"), F.lit(1001).alias("v")))
+    found = {(r.u, r.v) for r in components(edges).collect()}
+    assert found == {(i, 0) for i in range(1, 301)} | {(1001, 1000)}

@@ -1,0 +1,69 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from newsflow.llm import topk
+from tests.llm.conftest import rows_of
+
+SCHEMA = "vec_id long, embedding array<float>, score long, rank string"
+
+
+def brute(rows, k=5, every=50):
+    usable = {}
+    for vec_id, vector in rows:
+        if vec_id is None or vector is None:
+            continue
+        if any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        vector = [float(np.float32(x)) for x in vector]
+        usable[vec_id] = min(vector, usable.get(vec_id, vector))
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in usable.items()}
+    out = []
+    for q in (i for i in whole if i % every == 0):
+        dot = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in whole.items() if i != q}
+        scored = [(-max(-(2**63), min(2**63 - 1, x)), i) for i, x in dot.items()]
+        for rank, (score, i) in enumerate(sorted(scored)[:k], 1):
+            out.append((q, rank, i, -score))
+    return sorted(out)
+
+
+def result(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def run(frame, rows, **options):
+    df = frame([(*r, 7, "r") for r in rows], SCHEMA)
+    return result(topk.top_k(df, F.col("vec_id") % 50 == 0, **options))
+
+
+def test_whole_table(frame):
+    rows = [(r["vec_id"], r["embedding"]) for r in rows_of("embeddings")]
+    assert run(frame, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("shard,block,merged", [(7, 3, 2), (64, 1, 4)])
+def test_tiles_ties_and_odd_vectors(frame, monkeypatch, shard, block, merged):
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+    monkeypatch.setattr(topk, "MERGED", merged)
+    rng = np.random.default_rng(1)
+    rows = [(i, [0.5, -0.25, 1.0] if i % 3 else rng.normal(size=3).tolist()) for i in range(160)]
+    rows += [(300, None), (301, [1.0, None]), (350, [float("nan")]), (None, [1.0]), (400, []),
+             (303, [float("inf"), 1.0]), (450, [1.0]), (450, [0.5]), (450, [0.5])]
+    assert run(frame, rows) == brute(rows)
+
+
+def test_large_components_stay_exact(frame):
+    rows = [(i * 50, [3e18 + i * 1e12, 1.0 / (i + 1)]) for i in range(4)]
+    rows += [(i + 1, [1e9 * i, 2.0]) for i in range(5)]
+    assert run(frame, rows) == brute(rows)
+
+
+def test_few_and_no_rows(frame, spark):
+    assert run(frame, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 256 * 512)]
+    assert run(frame, [(0, [1.0])]) == []
+    assert run(frame, [(1, [1.0])]) == []
+    df = spark.createDataFrame([], SCHEMA)
+    assert topk.top_k(df, F.col("vec_id") % 50 == 0).collect() == []
