@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import dedup, simhash, token_files, topk
+from newsflow.llm import (
+    dedup,
+    html_extract,
+    language,
+    licenses,
+    mixing,
+    pieces,
+    quality,
+    simhash,
+    token_files,
+    topk,
+)
 from newsflow.llm.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +29,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op2_quality_classifier(spark, sf_dir):
+    """Weak label, score and decision of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.learn(docs)).drop("whole")
+
+
 def op3_topk_search(spark, sf_dir):
     """The five highest inner products of every 50th vector with all others."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -29,6 +51,33 @@ def op4_simhash_components(spark, sf_dir):
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark, sf_dir):
+    """Licences of every document and the sentences that show them, in order."""
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join("licenses", ",").alias("licenses"),
+        F.array_join("sentence_ids", ",").alias("sentences"),
+    )
+
+
+def op6_sentencepiece(spark, sf_dir):
+    """Ids of every document and whether they decode to its text again."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    ids = pieces.encode(F.col("text"), model)
+    rows = docs.select("doc_id", "text", ids.alias("ids"))
+    decoded = pieces.decode(F.col("ids"), model)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        (decoded == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))).alias(
+            "round_trip"
+        ),
+    )
+
+
 def op7_token_files(spark, sf_dir):
     """Place, length and checksum of every document's ids, from the files written."""
     path = scratch_path(spark, "token-files")
@@ -38,15 +87,36 @@ def op7_token_files(spark, sf_dir):
     return token_files.token_digests(spark, path)
 
 
+def op8_language_id(spark, sf_dir):
+    """Predicted language of every document, and whether it was held out of learning."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(docs))
+    return found.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op9_source_mixing(spark, sf_dir):
+    """Rate and copies of every document for equal token shares of the sources."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.fit_rates(docs)[0]
+
+
 def op10_exact_dedup(spark, sf_dir):
     """The row that stays and the group size of every document."""
     return dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_topk_search": op3_topk_search,
     "op4_simhash_components": op4_simhash_components,
+    "op5_license_scan": op5_license_scan,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_token_files": op7_token_files,
+    "op8_language_id": op8_language_id,
+    "op9_source_mixing": op9_source_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
