@@ -93,7 +93,7 @@ RULES = {
 # Every known sentence holds one of these, so a text without them holds no known sentence.
 HINTS = ("licens", "permission", "redistribut", "copyright", "free software", "warranty", "reserved")
 SENTENCE_END = r"[.!?;:]+(?=\s|$)|[\r\n]+\s*[\r\n]+"
-LINE_END = r"[\r\n]+"
+LINE_END = r"[.!?]+(?=\s|$)|[\r\n]+"
 
 
 def normal(sentence: Column) -> Column:
@@ -114,13 +114,13 @@ def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Colum
     """Identifiers of the known sentences of a text, in order.
 
     Sentences end with a mark before white space or at an empty line, so one may run over a line
-    break. Lines are looked up as well, for notices without a final mark: a text's sentences come
-    first and then those lines that are no sentence of it.
+    break. Lines are looked up as well, for notices without a final mark and for tags with a colon:
+    a text's sentences come first and then those of its lines that are no sentence of it.
     """
     sentences = sentences or SENTENCES
     text = F.coalesce(text.cast("string"), F.lit(""))
     by_mark = _known(F.split(text, SENTENCE_END), sentences)
-    by_line = _known(F.split(F.regexp_replace(text, r"[.!?;:]+(?=\s|$)", "\n"), LINE_END), sentences)
+    by_line = _known(F.split(text, LINE_END), sentences)
     return F.concat(by_mark, F.array_except(by_line, by_mark))
 
 

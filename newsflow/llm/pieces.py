@@ -233,9 +233,10 @@ def text_of(known: Vocabulary, ids) -> str:
         if i == known.unknown:
             out.append(" ⁇ ")
         elif i not in known.control:
-            out.append(known.pieces[i])
+            # The mark that encoding put before the text goes.
+            out.append(known.pieces[i] if out else known.pieces[i].removeprefix(MARK))
     out.append(held.decode(errors="replace"))
-    return "".join(out).replace(MARK, " ").removeprefix(" ")
+    return "".join(out).replace(MARK, " ")
 
 
 def decode(ids: Column, model_path: str, kind: str = "bpe") -> Column:
