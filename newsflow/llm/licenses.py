@@ -90,8 +90,8 @@ RULES = {
     "MPL-2.0": [["mpl2-notice"]],
     "Proprietary": [["reserved"]],
 }
-# Every known sentence holds one of these, so a text without them holds no known sentence.
-HINTS = ("licens", "permission", "redistribut", "copyright", "free software", "warranty", "reserved")
+# Every known sentence holds one of these words, so a text without them holds no known sentence.
+HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved")
 SENTENCE_END = r"[.!?;:]+(?=\s|$)|[\r\n]+\s*[\r\n]+"
 LINE_END = r"[.!?]+(?=\s|$)|[\r\n]+"
 

@@ -112,35 +112,44 @@ def learn_domains(docs: DataFrame, at: Columns = Columns(), sample: int = SAMPLE
     return Classifier(domains, model)
 
 
-def _rates(posterior: np.ndarray, moves: list, start: float, low: float, high: float) -> np.ndarray:
-    rates = np.full(len(posterior), start)
-    for move in moves:
-        rates = np.clip(rates - posterior @ move, low, high)
-    return rates
+def _rates(
+    posterior: np.ndarray, moves: list, start: float, low: float, high: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the moves, and the point ahead of them from which the next move starts.
 
+    Each move is taken from the rates carried on by a growing part of the last change (Nesterov's
+    momentum) and projected onto the bounds.
+    """
+    rates = ahead = np.full(len(posterior), start)
+    for k, move in enumerate(moves):
+        before, rates = rates, np.clip(ahead - posterior @ move, low, high)
+        ahead = rates + k / (k + 3) * (rates - before)
+    return rates, ahead
 
-def _reached(table: DataFrame, domains: int, moves, start, low, high) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens and, for the step's metric, their products between domains."""
 
+def _reached(table: DataFrame, domains: int, moves: list, bounds: tuple) -> list[np.ndarray]:
+    """Expected tokens at the rates and ahead of them; before any move, also the products of the
+    domains' memberships, for the metric of the steps."""
     if not domains:
-        return np.zeros(0), np.zeros((0, 0))
+        return [np.zeros(0), np.zeros(0), np.zeros((0, 0))]
+    shape = (domains + 2, domains)
 
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, cross = np.zeros(domains), np.zeros((domains, domains))
+        total = np.zeros(shape)
         for frame in frames:
-            posterior = np.stack(frame["posterior"].to_numpy()) if len(frame) else np.zeros((0, domains))
+            posterior = np.array(frame["posterior"].to_list()).reshape(len(frame), domains)
             tokens = frame["tokens"].to_numpy(dtype=float)
-            total += posterior.T @ (tokens * _rates(posterior, moves, start, low, high))
+            for k, rates in enumerate(_rates(posterior, moves, *bounds)):
+                total[k] += posterior.T @ (tokens * rates)
             if not moves:
-                cross += posterior.T @ (posterior * tokens[:, None])
-        yield pd.DataFrame({"cell": np.arange(domains * (domains + 1)),
-                            "n": np.concatenate([total, cross.ravel()])})
+                total[2:] += posterior.T @ (posterior * tokens[:, None])
+        yield pd.DataFrame({"cell": np.arange(total.size), "n": total.ravel()})
 
     cells = table.select("tokens", "posterior").mapInPandas(sums, "cell int, n double")
-    found = np.zeros(domains * (domains + 1))
+    found = np.zeros(shape).ravel()
     for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         found[row["cell"]] = row["n"]
-    return found[:domains], found[domains:].reshape(domains, domains)
+    return [found[:domains], found[domains : 2 * domains], found.reshape(shape)[2:]]
 
 
 @dataclass(frozen=True)
@@ -167,8 +176,8 @@ class Mixture:
 
         @F.pandas_udf("double")
         def rate(lists: pd.Series) -> pd.Series:
-            posterior = np.stack(lists.to_numpy()) if len(lists) else np.zeros((0, d))
-            return pd.Series(_rates(posterior, moves, start, low, high))
+            posterior = np.array(lists.to_list()).reshape(len(lists), d)
+            return pd.Series(_rates(posterior, moves, start, low, high)[0])
 
         rows = members.withColumn("rate", rate("posterior") if moves else F.lit(start))
         copies = F.floor(F.col("rate") + _draw(F.lit("mix"), "doc_id")).cast("int")
@@ -199,7 +208,7 @@ def fit_rates(
     classifier = learn_domains(docs, at, sample)
     table = written(classifier.members(docs, at).drop("whole"), "memberships")
     d, start = len(classifier.domains), float(np.clip(1.0, low, high))
-    tokens, cross = _reached(table, d, [], 1.0, low, high)
+    tokens, _, cross = _reached(table, d, [], (1.0, low, high))
     if weights is None:
         shares = np.maximum(tokens, 0.0) ** temper
     else:
@@ -213,11 +222,13 @@ def fit_rates(
     # The inverse products scale the residual: where no bound holds, the first step arrives.
     metric = np.linalg.pinv(cross + np.eye(d) * 1e-9 * max(np.trace(cross), 1e-9))
     moves: list[np.ndarray] = []
-    reached, gain, close = tokens * start, np.inf, CLOSE * max(whole, 1.0)
+    reached = ahead = tokens * start
+    gain, close = np.inf, CLOSE * max(whole, 1.0)
     # A gain far below what is still missing means that the bounds leave nothing more to reach.
     while len(moves) < STEPS and np.abs(reached - targets).max(initial=0.0) > close < 10 * gain:
-        moves.append(metric @ (reached - targets))
-        before, (reached, _) = reached, _reached(table, d, moves, start, low, high)
+        moves.append(metric @ (ahead - targets))
+        before = reached
+        reached, ahead, _ = _reached(table, d, moves, (start, low, high))
         gain = np.abs(reached - before).max()
     mixture = Mixture(classifier, moves, low, high, tokens, targets, reached)
     return mixture.rated(table), mixture

@@ -120,7 +120,49 @@ QUERIES: dict[str, Query] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+
+
+def _license_sql() -> str:
+    """The scan in DuckDB: sentences and rules are written out from the operator's tables."""
+
+    def known(pieces: str) -> str:
+        plain = "trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))"
+        return (
+            f"list_filter(list_transform({pieces}, lambda p: k.m[{plain}]), "
+            "lambda x: x IS NOT NULL)"
+        )
+
+    def rule(ids: list[str]) -> str:
+        return "chain LIKE '%" + "%".join(f" {i} " for i in ids) + "%'"
+
+    table = ", ".join(f"'{s}': '{i}'" for s, i in licenses.SENTENCES.items())
+    white = r"[ \t\n\x0B\f\r]"
+    marks = rf"[.!?;:]+({white}|$)|[\r\n]+{white}*[\r\n]+"
+    lines = rf"[.!?]+({white}|$)|[\r\n]+"
+    found = ", ".join(
+        f"CASE WHEN {' OR '.join(map(rule, rules))} THEN '{name}' END"
+        for name, rules in sorted(licenses.RULES.items())
+    )
+    return f"""
+        WITH k AS (SELECT MAP {{{table}}} AS m), d AS (
+            SELECT doc_id, {known(f"regexp_split_to_array(coalesce(text, ''), '{marks}')")} AS a,
+                   {known(f"regexp_split_to_array(coalesce(text, ''), '{lines}')")} AS b
+            FROM documents, k
+        ), s AS (
+            SELECT doc_id, list_concat(a, list_filter(b, lambda x, i:
+                list_position(b, x) = i AND NOT list_contains(a, x))) AS ids
+            FROM d
+        ), c AS (
+            SELECT doc_id, ids, ' ' || array_to_string(ids, '  ') || ' ' AS chain FROM s
+        )
+        SELECT doc_id, coalesce(array_to_string([{found}], ','), '') AS licenses,
+               coalesce(array_to_string(ids, ','), '') AS sentences
+        FROM c
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op5_license_scan": _license_sql(),
     "op3_topk_search": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q

@@ -1,0 +1,72 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from newsflow.llm import quality as Q
+from tests.llm.conftest import rows_of
+
+PATH = "/root/testdata/sf0.01/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return Q.learn(spark.read.parquet(PATH))
+
+
+def test_decisions_agree_with_the_labels_that_were_not_used(spark, model):
+    found = {r.doc_id: r for r in Q.score(spark.read.parquet(PATH), model).collect()}
+    labels = [r for r in rows_of("labels") if r["doc_id"] in found]
+    bad = [r for r in labels if r["quality"] == 0]
+    good = [r for r in labels if r["quality"] == 1]
+    assert sum(not found[r["doc_id"]].keep for r in bad) >= 0.95 * len(bad)
+    assert sum(found[r["doc_id"]].keep for r in good) >= 0.99 * len(good)
+    assert all(0 <= r.score <= 1 and r.keep == (r.score >= Q.KEEP_FROM) for r in found.values())
+
+
+def shape_of(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    return df.select(Q.shapes(F.col("t"))).first()[0]
+
+
+def test_shapes(spark):
+    assert shape_of(spark, " The  cat,\nÉTÉ 12x!! a a a b ") == "Aa a, A 9a!! = = a a"
+    assert shape_of(spark, None) == "" and shape_of(spark, "") == ""
+    assert shape_of(spark, "ab abc ab") == "a a a"  # a word is not repeated by a longer one
+
+
+def test_label_model_recovers_known_accuracies():
+    rng = np.random.default_rng(3)
+    truth = rng.random(40_000) < 0.7
+    right = np.array([0.9, 0.85, 0.8, 0.75, 0.7])
+    hit = rng.random((40_000, 5)) < right
+    vote = np.where(hit == truth[:, None], Q.GOOD, Q.BAD)
+    vote[rng.random((40_000, 5)) < 0.2] = Q.ABSTAIN
+    patterns, counts = np.unique(vote @ 3 ** np.arange(5), return_counts=True)
+    model = Q.label_model(dict(zip(patterns.tolist(), counts.tolist())), 5)
+    assert model.prior == pytest.approx(0.7, abs=0.03)
+    found = model.votes[0, :, Q.GOOD] / (model.votes[0, :, Q.GOOD] + model.votes[0, :, Q.BAD])
+    assert found == pytest.approx(right, abs=0.03)
+    belief = np.array([model.posterior[p] for p in (vote @ 3 ** np.arange(5)).tolist()])
+    assert ((belief > 0.5) == truth).mean() > 0.9
+
+
+def test_odd_rows_and_clashing_columns(frame, model):
+    junk, long = "WHAT!! EVER!! THIS!! IS!! " * 20, "This is a sentence of plain words. " * 20_000
+    rows = [(1, None), (2, ""), (3, junk), (4, long), (4, long), (None, junk), (5, "a b " * 3)]
+    schema = "doc_id long, text string, score string, tokens string, features int, keep string"
+    df = frame([(*r, "s", "t", 1, "k") for r in rows], schema)
+    found = Q.score(df, model).collect()
+    assert len(found) == len(rows) and all(r.whole.score == "s" for r in found)
+    by = {r.doc_id: r for r in found}
+    assert by[4].keep and not by[3].keep and not by[None].keep
+    kept = Q.drop_low_quality(df)
+    assert kept.schema == df.schema
+
+
+def test_no_rows_and_rows_that_agree(spark):
+    schema = "doc_id long, text string"
+    empty = spark.createDataFrame([], schema)
+    assert Q.score(empty, Q.learn(empty)).collect() == []
+    alike = spark.createDataFrame([(i, "Plain words stand here. " * 30) for i in range(5)], schema)
+    assert Q.learn(alike).scorer is None
+    assert Q.drop_low_quality(alike).count() == 5
