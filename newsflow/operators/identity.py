@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-SALTS = 16
 ARRIVAL_ORDER = ("ingested_at", "category_pos", "feed_pos", "entry_pos")
 
 
@@ -49,26 +50,40 @@ def dedupe_first_wins(
 
 def dedupe_stream(
     df: DataFrame,
-    horizon: str = "7 days",
-    event_time: str = "ingested_at",
+    horizon: str | None = None,
+    order: Sequence[str] = ARRIVAL_ORDER,
     key: str = "id",
-    spread_by: Sequence[str] = ("category_pos", "feed_pos", "entry_pos"),
     linkless: str = "collapse",
 ) -> DataFrame:
-    """Streaming form: an id passes once within ``horizon``; its state is checkpointed and bounded.
+    """Streaming form of :func:`dedupe_first_wins`: the earliest row of a new id passes.
 
-    Copies of one id are first thinned within ``SALTS`` groups spread by where they were found, so
-    a hot id reaches the second, exact step as at most ``SALTS`` rows. Within one micro-batch any
-    copy may be the one that passes.
+    An id that passed is known for good, or with ``horizon`` (for queries that run on, not for those
+    that stop when all is read) for that much processing time after it was last seen. The rows' own
+    times drop nothing, so an article that arrives late passes if its id is new. The state is one
+    flag per known id, in the checkpoint. The copies of a hot id in one micro-batch meet in one
+    task, which holds a single row of them at a time; bound the micro-batch at the source.
     """
     linked, rest = _split_linkless(df, linkless)
-    marked = linked.withWatermark(event_time, horizon)
-    if spread_by:
-        salt = F.pmod(F.xxhash64(*spread_by, F.col(event_time)), F.lit(SALTS))
-        marked = (
-            marked.withColumn("_salt", salt)
-            .dropDuplicatesWithinWatermark([key, "_salt"])
-            .drop("_salt")
-        )
-    once = marked.dropDuplicatesWithinWatermark([key])
-    return once if rest is None else once.unionByName(rest.withWatermark(event_time, horizon))
+    columns = list(order)
+    keep_ms = int(pd.Timedelta(horizon).total_seconds() * 1000) if horizon else None
+    expiry = GroupStateTimeout.ProcessingTimeTimeout if keep_ms else GroupStateTimeout.NoTimeout
+
+    def first(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known, best = state.exists, None
+        for frame in frames:
+            if not known:
+                rows = frame if best is None else pd.concat([best, frame])
+                best = rows.sort_values(columns, na_position="first", kind="stable").iloc[:1]
+        state.update((True,))
+        if keep_ms:
+            state.setTimeoutDuration(keep_ms)
+        if best is not None:
+            yield best
+
+    once = linked.groupBy(key).applyInPandasWithState(
+        first, linked.schema, "known boolean", "append", expiry
+    )
+    return once if rest is None else once.unionByName(rest)

@@ -91,12 +91,20 @@ def publish_stream(df: DataFrame, checkpoint: str, fmt: str, options: dict[str,
     return writer.option("checkpointLocation", checkpoint).outputMode("append")
 
 
-def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """The processed table; a path that does not exist yet reads as empty, other errors raise."""
+def read_processed(
+    spark: SparkSession, path: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """The processed table; a path that does not exist yet reads as empty, other errors raise.
+
+    With ``since`` or ``until`` (dates, both included) only the folders of those dates are read.
+    """
     try:
         df = spark.read.schema(PROCESSED).option("recursiveFileLookup", "false").parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], PROCESSED)
         raise
+    for bound, date in ((">=", since), ("<=", until)):
+        if date:
+            df = df.where(f"date {bound} date'{date}'")
     return df.select(*PROCESSED.fieldNames())

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.operators.identity import dedupe_stream
-from newsflow.sources.articles import decode_articles
+from newsflow.sources.articles import decode_articles, malformed_messages
 from newsflow.sources.feeds import attach_category, normalize_articles, read_feeds
 
 SINKS = {"parquet": ("parquet",), "console": ("console",), "both": ("parquet", "console")}
@@ -26,9 +29,35 @@ def checkpoint_root(spark: SparkSession, given: str | None = None) -> str:
     return root.rstrip("/")
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Store one micro-batch in its own folder; a replayed batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+def table_checkpoint(root: str, path: str | None) -> str:
+    """The one checkpoint of a table, whatever else is fed; without a table that of the console."""
+    return f"{root}/{hashlib.md5(path.rstrip('/').encode()).hexdigest() if path else 'console'}"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to; made up and kept there at its start.
+
+    Batches are numbered from zero in every new checkpoint, so their folders carry this name.
+    """
+    kept = f"{checkpoint}/newsflow_run"
+    try:
+        return spark.read.text(kept).first()["value"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    run = uuid.uuid4().hex
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(kept)
+    return run
+
+
+def write_batch(df: DataFrame, batch_id: int, path: str, run: str) -> None:
+    """Store one micro-batch in a folder of its run and number, by date of processing.
+
+    A replayed batch replaces itself and nothing else: no other run has its folder.
+    """
+    dated = df.withColumn("date", F.to_date("processed_at"))
+    folder = f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"
+    dated.write.mode("overwrite").partitionBy("date").parquet(folder)
 
 
 def show_batch(df: DataFrame, batch_id: int, rows: int = 20) -> None:
@@ -44,36 +73,47 @@ def start_processing(
     checkpoint: str | None = None,
     trigger: dict | None = None,
     malformed: str = "keep",
+    console_rows: int = 20,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Decode, process and store a stream of messages.
 
     ``process`` is the batch function (see ``process_articles``). With two sinks the source is still
-    read and scored once per micro-batch: the result is kept while both are written.
+    read and scored once per micro-batch: the result is kept while both are written. A table has one
+    checkpoint under the checkpoint root, so changing between ``parquet`` and ``both`` goes on where
+    the other stopped. The console shows ``console_rows`` rows of a batch. Messages that are no JSON
+    object are stored under the path ``quarantine``, if given, in the same way.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}: choose one of {', '.join(SINKS)}")
-    targets = SINKS[sink]
+    targets, spark = SINKS[sink], messages.sparkSession
     if "parquet" in targets and not path:
         raise ValueError("the parquet sink needs a path")
 
+    table = path if "parquet" in targets else None
+    state = table_checkpoint(checkpoint_root(spark, checkpoint), table)
+    run = run_of(spark, state) if table or quarantine else ""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if quarantine:
+            stamped = malformed_messages(batch).withColumn("processed_at", F.current_timestamp())
+            write_batch(stamped, batch_id, quarantine, run)
         articles = process(decode_articles(batch, malformed))
         if len(targets) > 1:
             articles = articles.persist()
         try:
             if "parquet" in targets:
-                write_batch(articles, batch_id, path)
+                write_batch(articles, batch_id, path, run)
             if "console" in targets:
-                show_batch(articles, batch_id)
+                show_batch(articles, batch_id, console_rows)
         finally:
             if len(targets) > 1:
                 articles.unpersist()
 
     every = PARQUET_TRIGGER if "parquet" in targets else CONSOLE_TRIGGER
-    root = checkpoint_root(messages.sparkSession, checkpoint)
     return (
         messages.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{root}/{sink}")
+        .option("checkpointLocation", state)
         .trigger(**(trigger or {"processingTime": every}))
         .start()
     )
@@ -84,10 +124,13 @@ def feed_articles_stream(
     path: str,
     registry: DataFrame,
     dialect: str = "rss",
-    horizon: str = "7 days",
+    horizon: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Landed feed documents as a stream of new articles, each id once within ``horizon``."""
+    """Landed feed documents as a stream of new articles, each id once (or within ``horizon``).
+
+    Of the copies of an id that land together the first in registry order passes.
+    """
     entries = read_feeds(spark, path, dialect, True, max_files_per_trigger)
     placed = attach_category(entries, registry, F.col("feed_key"))
     order = ("ingested_at", "category_pos", "feed_pos", "entry_pos")

@@ -1,11 +1,13 @@
 import datetime as dt
 import json
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsflow.operators import sentiment as N
 from newsflow.operators.enrich import process_articles
-from newsflow.operators.identity import dedupe_stream
+from newsflow.operators.identity import dedupe_first_wins, dedupe_stream
 from newsflow.schemas import PROCESSED, RAW_FIELDS
 from newsflow.sources.articles import decode_articles, read_processed
 from newsflow.sources.feeds import registry_from_settings
@@ -61,15 +63,73 @@ def test_a_replayed_batch_replaces_itself(spark, process, tmp_path):
     out = str(tmp_path / "out")
     rows = spark.createDataFrame([(message(1),), (message(2),)], "value string")
     for _ in range(2):
-        jobs.write_batch(process(decode_articles(rows)), 7, out)
+        jobs.write_batch(process(decode_articles(rows)), 7, out, "r1")
     assert read_processed(spark, out).count() == 2
+    jobs.write_batch(process(decode_articles(rows)), 7, out, "r2")
+    assert read_processed(spark, out).count() == 4
 
 
-def test_both_sinks_share_one_run(spark, process, tmp_path, capsys):
+def ids(spark, path):
+    return sorted(r["id"] for r in read_processed(spark, path).select("id").collect())
+
+
+def test_a_change_of_sink_goes_on_with_the_table(spark, process, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    options = {"process": process, "path": out, "checkpoint": str(tmp_path / "state")}
+    for i, sink in enumerate(("parquet", "both", "parquet")):
+        write_messages(source, f"{i}.json", [message(i)])
+        run(spark, source, sink=sink, **options)
+        assert ids(spark, out) == [f"id {k}" for k in range(i + 1)]
+
+
+def test_a_new_checkpoint_or_a_second_query_destroys_nothing(spark, process, tmp_path):
+    out = str(tmp_path / "out")
+    for i in range(2):
+        source = tmp_path / f"in{i}"
+        write_messages(source, "1.json", [message(i)])
+        run(spark, source, process=process, path=out, checkpoint=str(tmp_path / f"state{i}"))
+    assert ids(spark, out) == ["id 0", "id 1"]
+
+
+def test_dates_prune_the_stored_table(spark, process, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.createDataFrame([(message(1),)], "value string")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        stamped = process(decode_articles(rows)).withColumn(
+            "processed_at", F.lit(f"{day} 12:00:00").cast("timestamp")
+        )
+        jobs.write_batch(stamped, 0, out, day)
+    one = read_processed(spark, out, since="2024-01-02", until="2024-01-02")
+    assert [str(r[0].date()) for r in one.select("processed_at").collect()] == ["2024-01-02"]
+    plan = one._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date", plan)
+    assert len(one.inputFiles()) == 3  # listed; the scan reads those of the date
+
+
+def test_malformed_messages_are_kept_aside(spark, process, tmp_path):
+    source, out, aside = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "aside")
+    write_messages(source, "1.json", [message(1), '{"cut', "[]"])
+    run(spark, source, process=process, path=out, checkpoint=str(tmp_path / "state"),
+        malformed="drop", quarantine=aside)
+    assert ids(spark, out) == ["id 1"]
+    assert sorted(r["value"] for r in spark.read.parquet(aside).collect()) == ["[]", '{"cut']
+
+
+def test_console_alone_prints_its_rows(spark, process, tmp_path, capfd):
+    source = tmp_path / "in"
+    write_messages(source, "1.json", [message(i) for i in range(3)])
+    run(spark, source, process=process, sink="console", checkpoint=str(tmp_path / "state"),
+        console_rows=2)
+    printed = capfd.readouterr().out
+    assert "batch 0" in printed and "only showing top 2 rows" in printed
+
+
+def test_both_sinks_share_one_run(spark, process, tmp_path, capfd):
     source, out = tmp_path / "in", str(tmp_path / "out")
     write_messages(source, "1.json", [message(1)])
     run(spark, source, process=process, sink="both", path=out, checkpoint=str(tmp_path / "state"))
     assert read_processed(spark, out).count() == 1
+    assert "title 1" in capfd.readouterr().out
 
 
 def test_bad_settings_are_refused(spark, process, tmp_path):
@@ -109,23 +169,48 @@ def test_feed_stream_passes_an_id_once_across_runs(spark, tmp_path):
     assert poll() == ["", "http://n/1", "http://n/2", "http://n/3", "http://n/5"]
 
 
+ARRIVALS = (
+    "id string, link string, ingested_at timestamp, "
+    "category_pos int, feed_pos int, entry_pos int"
+)
+
+
+def passed(spark, tmp_path, *batches):
+    """Rows that pass when every batch lands before a run of its own."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in batches:
+        spark.createDataFrame(rows, ARRIVALS).write.mode("append").parquet(source)
+        stream = dedupe_stream(spark.readStream.schema(ARRIVALS).parquet(source))
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", str(tmp_path / "state"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination(120)
+        assert query.exception() is None
+    return sorted(map(tuple, spark.read.parquet(out).collect()))
+
+
 def test_hot_id_in_a_stream(spark, tmp_path):
-    source, state, out = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "out")
     at = dt.datetime(2024, 1, 1)
     rows = [("hot" if i % 2 else f"id{i}", "x", at, 0, 0, i) for i in range(200)]
-    schema = (
-        "id string, link string, ingested_at timestamp, "
-        "category_pos int, feed_pos int, entry_pos int"
-    )
-    spark.createDataFrame(rows, schema).write.parquet(source)
-    stream = dedupe_stream(spark.readStream.schema(schema).parquet(source))
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination(120)
-    ids = [r["id"] for r in spark.read.parquet(out).collect()]
+    ids = [r[0] for r in passed(spark, tmp_path, rows)]
     assert len(ids) == len(set(ids)) == 101
+
+
+def test_the_stream_keeps_the_row_that_the_batch_keeps(spark, tmp_path):
+    at = dt.datetime(2024, 3, 1)
+    rows = [(f"id{i % 5}", f"l{i}", at, 3 - i // 5 % 4, i % 2, i) for i in range(40)]
+    expected = dedupe_first_wins(spark.createDataFrame(rows, ARRIVALS)).collect()
+    assert passed(spark, tmp_path, rows) == sorted(map(tuple, expected))
+
+
+def test_a_late_article_passes_and_a_known_one_does_not(spark, tmp_path):
+    new, late = dt.datetime(2024, 3, 1), dt.datetime(2024, 1, 1)
+    found = passed(
+        spark, tmp_path, [("a", "l", new, 1, 0, 0)], [("b", "l", late, 1, 0, 0)],
+        [("a", "again", late, 0, 0, 0), ("c", "l", new, 0, 0, 0)],
+    )
+    assert [(r[0], r[1]) for r in found] == [("a", "l"), ("b", "l"), ("c", "l")]
