@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import keywords as K
 from newsflow.functions import sentiment as S
 from newsflow.functions import text as X
-from newsflow.operators.sentiment import score_with_marks
+from newsflow.operators.sentiment import Marks, score_with_marks
 from newsflow.schemas import PROCESSED
 
 
@@ -33,12 +33,12 @@ def enrich_text(df: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
 
 def process_articles(
     df: DataFrame,
-    marks: DataFrame,
+    marks: DataFrame | Marks,
     rules: S.Rules = S.Rules(),
     processed_at: Column | None = None,
     lookup: str = "auto",
 ) -> DataFrame:
-    """Raw articles to the stored schema, scored against ``token_marks`` tables.
+    """Raw articles to the stored schema, scored against marks (see ``prepare_marks``).
 
     The work is row-local (while the marks are small), so articles are never shuffled.
     """

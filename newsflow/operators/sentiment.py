@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow import schemas
 from newsflow.functions import sentiment as S
+from newsflow.operators.scratch import written
 from newsflow.operators.sizing import is_small
 
 SALTS = 16
@@ -61,6 +64,36 @@ def token_marks(
     )
 
 
+@dataclass(frozen=True)
+class Marks:
+    """Marks ready to score with: one row ``(token, mark)`` per token, and whether they are few
+    enough to be searched inside each row."""
+
+    table: DataFrame
+    small: bool
+
+
+def one_mark_per_token(marks: DataFrame) -> DataFrame:
+    """``(token, mark)`` with tokens as the scorer looks them up.
+
+    Tokens are lower-cased, as words are before the look-up; NULL tokens are left out. Of several
+    rows of one token the largest value of each column counts.
+    """
+    rows = marks.where(F.col("token").isNotNull()).groupBy(F.lower("token").alias("token"))
+    columns = ("valence", "delta", "negates")
+    merged = rows.agg(*[F.max(c).alias(c) for c in columns])
+    return merged.select("token", F.struct(*columns).alias("mark"))
+
+
+def prepare_marks(marks: DataFrame) -> Marks:
+    """Derive marks once: they are stored in the shared folder and their size is checked there.
+
+    This runs the job that makes ``marks``. Scoring with the result reads the stored rows.
+    """
+    table = written(one_mark_per_token(marks), "marks")
+    return Marks(table, is_small(table))
+
+
 def mark_index(marks: DataFrame) -> Column:
     """The marks of a small table as one value, searched inside the row (see ``sql_lookup``)."""
     buckets = F.lit(S.BUCKETS - 1)
@@ -103,6 +136,8 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
         "_text_key", *counts, F.posexplode(S.split_tokens(F.col("_text"))).alias("pos", "word")
     ).withColumns({"token": F.lower("word"), "_salt": F.pmod("pos", F.lit(SALTS))})
     salted = marks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Sent whole, the lexicon would be sent once per salt.
+    salted = salted.hint("merge")
     # The collected list is one text's tokens: no larger than the text it came from.
     found = (
         tokens.join(salted, ["token", "_salt"], "left")
@@ -121,7 +156,7 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
 
 def score_with_marks(
     df: DataFrame,
-    marks: DataFrame,
+    marks: DataFrame | Marks,
     rules: S.Rules = S.Rules(),
     text: str = "full_text",
     lookup: str = "auto",
@@ -129,15 +164,22 @@ def score_with_marks(
     """Add the label and the four scores of ``text``; ``marks`` as from :func:`token_marks`.
 
     Marks within the checked bound are searched inside each row, with no shuffle of the articles;
-    beyond it (or with ``lookup='join'``) a shuffle join does the same look-up.
+    beyond it (or with ``lookup='join'``) a shuffle join does the same look-up, with the same result.
+    Marks that are not yet prepared (see :func:`prepare_marks`) are prepared here, unless they are
+    joined. ``lookup='index'`` refuses marks beyond the bound.
     """
     if lookup not in ("auto", "index", "join"):
         raise ValueError(f"lookup must be auto, index or join, not {lookup!r}")
-    paired = marks.select("token", F.struct("valence", "delta", "negates").alias("mark"))
-    if lookup == "auto":
-        lookup = "index" if is_small(paired) else "join"
-    score_by = _score_by_index if lookup == "index" else _score_by_join
-    scored = score_by(df, text, paired, rules)
+    if isinstance(marks, Marks):
+        ready = marks
+    elif lookup == "join":
+        ready = Marks(one_mark_per_token(marks), small=False)
+    else:
+        ready = prepare_marks(marks)
+    if lookup == "index" and not ready.small:
+        raise ValueError("the marks are too many to be searched inside each row")
+    score_by = _score_by_index if ready.small and lookup != "join" else _score_by_join
+    scored = score_by(df, text, ready.table, rules)
     return scored.withColumns(S.sentiment_columns(F.col(text), F.col("_score"))).drop("_score")
 
 

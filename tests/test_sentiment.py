@@ -104,6 +104,44 @@ def test_size_check_picks_the_other_way(spark):
     assert not is_small(lexicon, max_bytes=100)
 
 
+ODD = [("good", 2.0), ("Good", 3.0), (None, 9.0), ("BAD", -2.0), ("bad", -2.0), ("good", 1.0)]
+
+
+def test_both_ways_treat_odd_lexicons_alike(spark):
+    """NULL, upper-case and repeated tokens: one validated table, whatever the look-up."""
+    marks = spark.createDataFrame(
+        [(t, v, None, None) for t, v in ODD],
+        "token string, valence double, delta double, negates boolean",
+    )
+    texts = ["Good day", "a BAD day", "good bad good", "null", ""]
+    by = [scores(spark, marks, texts, lookup=way) for way in ("auto", "index", "join")]
+    assert by[0] == by[1] == by[2]
+    assert by[0][0]["sentiment"] == "positive" and by[0][1]["sentiment"] == "negative"
+    one = N.one_mark_per_token(marks).collect()
+    assert {(r["token"], r["mark"]["valence"]) for r in one} == {("good", 3.0), ("bad", -2.0)}
+
+
+def test_index_refuses_marks_beyond_the_bound(spark, marks, monkeypatch):
+    monkeypatch.setattr(N, "is_small", lambda df: False)
+    with pytest.raises(ValueError):
+        scores(spark, marks, ["x"], lookup="index")
+    assert scores(spark, marks, ["good day"])[0]["sentiment"] == "positive"
+
+
+def test_the_join_shuffles_the_lexicon(spark, marks):
+    df = spark.createDataFrame([("good day",)], "full_text string")
+    plan = N.score_with_marks(df, marks, lookup="join")._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert "SortMergeJoin [token" in physical
+    assert not [x for x in physical.splitlines() if "BroadcastHashJoin [token" in x]
+
+
+def test_prepared_marks_are_derived_once(spark, marks):
+    ready = N.prepare_marks(marks)
+    assert ready.small and "FileScan parquet" in ready.table._jdf.queryExecution().toString()
+    assert scores(spark, ready, ["good day"])[0]["sentiment"] == "positive"
+
+
 def test_copies_of_a_text_all_get_their_score(spark, marks):
     texts = ["good day"] * 40 + ["bad day"]
     rows = scores(spark, marks, texts, lookup="join")

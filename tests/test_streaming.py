@@ -19,7 +19,7 @@ ONCE = {"availableNow": True}
 
 @pytest.fixture(scope="module")
 def process(spark):
-    marks = N.token_marks(N.sample_lexicon(spark)).persist()
+    marks = N.prepare_marks(N.token_marks(N.sample_lexicon(spark)))
     return lambda df: process_articles(df, marks)
 
 
