@@ -20,7 +20,7 @@ from newsflow.llm import (
     token_files,
     topk,
 )
-from newsflow.llm.scratch import scratch_path
+from newsflow.operators.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
