@@ -22,10 +22,13 @@ import re
 from collections.abc import Iterator
 from os.path import commonprefix
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.llm.word_ids import WordMemory, as_lists, joined, slices
+
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 # Superscript digits and other numerals count as other characters than letters.
@@ -33,8 +36,8 @@ NUMERALS = "\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u218b\u2460-\u24ff"
 LETTERS = re.compile(
     rf"{MARK}*(?:[^\W\d_{NUMERALS}]+|(?:(?!{MARK})[\W\d_{NUMERALS}])+)|{MARK}+"
 )
-# Words and pairs that a worker keeps before it forgets them all; characters of a word that is kept.
-REMEMBERED, LONG_WORD = 1 << 19, 64
+# Words (and pairs of pieces) that a worker keeps before it forgets those not met again.
+REMEMBERED = 1 << 18
 UNKNOWN_PENALTY = 10.0
 
 
@@ -72,9 +75,18 @@ class Vocabulary:
                 self.lengths.setdefault(piece[-2:], []).append(len(piece))
         self.lengths = {k: sorted(set(v), reverse=True) for k, v in self.lengths.items()}
         self.least = min(self.score.values(), default=0.0)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.memory = WordMemory(REMEMBERED)
+        # By piece: the pieces before it that were tested, and whether they stay apart.
+        self.pairs: dict[str, dict[str, bool]] = {piece: {} for piece in self.score}
+        self.tested = 0
         self.parts: dict[str, tuple[str, str] | None] = {}
+        # Texts of ids; a byte of more than 127 is a part of a character and not among them.
+        self.texts = [
+            "" if i in self.control else " ⁇ " if i == self.unknown
+            else chr(self.byte_of[i]) if i in self.byte_of else piece.replace(MARK, " ")
+            for i, piece in enumerate(self.pieces)
+        ]
+        self.partial = np.array([self.byte_of.get(i, 0) > 127 for i in range(len(self.pieces))])
 
     def split(self, piece: str) -> tuple[str, str] | None:
         """The two pieces of a piece's last merge; None for a character."""
@@ -95,12 +107,12 @@ class Vocabulary:
 
     def apart(self, left: str, right: str) -> bool:
         """Whether merging leaves ``left`` and ``right`` as two pieces where they meet."""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            known = self.pairs[key] = self._apart(left, right)
+        if self.tested >= REMEMBERED:
+            self.tested = 0
+            for known in self.pairs.values():
+                known.clear()
+        self.tested += 1
+        known = self.pairs[right][left] = self._apart(left, right)
         return known
 
     def _apart(self, left: str, right: str) -> bool:
@@ -130,36 +142,41 @@ class Vocabulary:
             else:
                 taken, by_right, left = score_a, False, a[1]
 
-    def best_step(self, word: str, end: int, states: list) -> tuple[str, float]:
-        """The last piece and the score of the best path to ``word[:end]``."""
-        piece = word[end - 1 : end]
-        score = self.score.get(piece, self.least - UNKNOWN_PENALTY)
-        best = (piece, states[end - 1][1] + score)
-        for length in self.lengths.get(word[max(0, end - 2) : end], ()):
-            piece = word[end - length : end] if length <= end else ""
-            score = self.score.get(piece)
-            if score is not None and states[end - length][1] + score > best[1]:
-                best = (piece, states[end - length][1] + score)
-        return best
-
-    def merged_step(self, word: str, end: int, states: list) -> tuple[str, float]:
-        """The last piece of what merging makes of ``word[:end]``."""
-        score, pairs = self.score, self.pairs
-        for length in self.lengths.get(word[max(0, end - 2) : end], ()):
-            if length > end:
-                continue
-            piece = word[end - length : end]
-            if piece in score:
-                last = states[end - length][0]
-                apart = pairs.get((last, piece))
-                if apart if apart is not None else self.apart(last, piece):
-                    return piece, 0.0
-        return word[end - 1], 0.0
-
-    def ids(self, word: str, states: list) -> tuple[int, ...]:
+    def _best_steps(self, word: str, done: int, states: list[tuple[str, float]]) -> None:
+        """Extend the best paths to the prefixes of a word: the last piece and the score of each."""
+        for end in range(done + 1, len(word) + 1):
+            score = self.score.get(word[end - 1], self.least - UNKNOWN_PENALTY)
+            best = (word[end - 1], states[end - 1][1] + score)
+            for length in self.lengths.get(word[max(0, end - 2) : end], ()):
+                piece = word[end - length : end] if length <= end else ""
+                score = self.score.get(piece)
+                if score is not None and states[end - length][1] + score > best[1]:
+                    best = (piece, states[end - length][1] + score)
+            states.append(best)
+
+    def _merged_steps(self, word: str, done: int, states: list[str]) -> None:
+        """Extend what merging makes of the prefixes of a word: the last piece of each."""
+        pairs, lengths, states_add = self.pairs.get, self.lengths.get, states.append
+        for end in range(done + 1, len(word) + 1):
+            last = word[end - 1]
+            for length in lengths(word[end - 2 : end] if end > 1 else last, ()):
+                if length > end:
+                    continue
+                piece = word[end - length : end]
+                known = pairs(piece)
+                if known is None:
+                    continue
+                before = states[end - length]
+                apart = known.get(before)
+                if apart or apart is None and self.apart(before, piece):
+                    last = piece
+                    break
+            states_add(last)
+
+    def _ids(self, word: str, lasts: list[str]) -> bytes:
         pieces, end = [], len(word)
         while end:
-            pieces.append(states[end][0])
+            pieces.append(lasts[end])
             end -= len(pieces[-1])
         out: list[int] = []
         for piece in reversed(pieces):
@@ -170,25 +187,42 @@ class Vocabulary:
                 out.extend(self.bytes[b] for b in piece.encode())
             else:
                 out.append(self.unknown)
-        return tuple(out)
-
-    def learn(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of words: those seen before, and the rest by one walk of their trie."""
-        if len(self.words) >= REMEMBERED:
-            self.words = {}
-        fresh = sorted(w for w in words if w not in self.words)
-        long: dict[str, tuple[int, ...]] = {}
-        step = self.best_step if self.kind == "unigram" else self.merged_step
-        states: list[tuple[str, float]] = [("", 0.0)]
+        return np.array(out, dtype="<i4").tobytes()
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, as little-endian integers, by one walk of their trie."""
+        out: dict[str, bytes] = {}
+        unigram = self.kind == "unigram"
+        states: list = [("", 0.0)] if unigram else [""]
         before = ""
-        for word in fresh:
+        for word in sorted(words):
             shared = len(commonprefix((before, word)))
             del states[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                states.append(step(word, end, states))
-            (self.words if len(word) <= LONG_WORD else long)[word] = self.ids(word, states)
+            (self._best_steps if unigram else self._merged_steps)(word, shared, states)
+            out[word] = self._ids(word, [piece for piece, _ in states] if unigram else states)
             before = word
-        return self.words if not long else self.words | long
+        return out
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of whole texts, and their number per text."""
+        words = [marked(t, self.word) for t in texts]
+        return joined(words, lambda some: self.memory.ids(some, self.learn))
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids: bytes join up to characters, marks are spaces, and the mark that
+        encoding put before the text goes."""
+        first = next((self.pieces[i] for i in ids.tolist() if i not in self.control), "")
+        skip = first.startswith(MARK)
+        if not self.partial[ids].any():
+            return "".join(map(self.texts.__getitem__, ids.tolist()))[skip:]
+        out, held = [], bytearray()
+        for i in ids.tolist():
+            if i in self.byte_of:
+                held.append(self.byte_of[i])
+                continue
+            out += [held.decode(errors="replace"), self.texts[i]]
+            held.clear()
+        return "".join([*out, held.decode(errors="replace")])[skip:]
 
 
 @functools.lru_cache(maxsize=2)
@@ -208,44 +242,26 @@ def encode(text: Column, model_path: str, kind: str = "bpe") -> Column:
     piece with a mark after another character.
     """
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(model_path, kind)
-        for batch in texts:
-            words = [marked(t, known.word) for t in batch]
-            table = known.learn(set().union(*words))
-            yield pd.Series([[i for w in some for i in table[w]] for some in words], dtype=object)
+        for batch in batches:
+            texts = [t or "" for t in batch.to_pylist()]
+            yield as_lists([known.encode(some) for some in slices(texts)])
 
     return ids(text.cast("string"))
 
 
-def text_of(known: Vocabulary, ids) -> str:
-    """The text of a list of ids: bytes join up to characters, marks are spaces."""
-    out: list[str] = []
-    held = bytearray()
-    for i in ids:
-        if i in known.byte_of:
-            held.append(known.byte_of[i])
-            continue
-        if held:
-            out.append(held.decode(errors="replace"))
-            held.clear()
-        if i == known.unknown:
-            out.append(" ⁇ ")
-        elif i not in known.control:
-            # The mark that encoding put before the text goes.
-            out.append(known.pieces[i] if out else known.pieces[i].removeprefix(MARK))
-    out.append(held.decode(errors="replace"))
-    return "".join(out).replace(MARK, " ")
-
-
 def decode(ids: Column, model_path: str, kind: str = "bpe") -> Column:
     """Texts of arrays of ids; NULL has the empty text."""
 
-    @F.pandas_udf("string")
-    def texts(lists: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(model_path, kind)
-        return pd.Series([text_of(known, () if x is None else x.tolist()) for x in lists])
+        for lists in batches:
+            full = lists.fill_null([]) if lists.null_count else lists
+            values, ends = full.values.to_numpy(), full.offsets.to_numpy()
+            yield pa.array([known.decode(values[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
 
     return texts(ids)
 
