@@ -136,7 +136,7 @@ def arrivals_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _xml(text: Column) -> Column:
     """Escape a text for an XML document, dropping characters XML cannot hold."""
-    safe = F.regexp_replace(text, r"[\x00-\x08\x0b-\x1f\x{fffe}\x{ffff}]", "")
+    safe = F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]", "")
     for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         safe = F.replace(safe, F.lit(raw), F.lit(escaped))
     return safe
@@ -162,3 +162,29 @@ def feed_documents_from_conversations(spark: SparkSession, sf_dir: str) -> DataF
     )
     turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return turns.select("conv_id", "turn", document.alias("xml"))
+
+
+def atom_documents_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn as one Atom feed of one entry, its text as escaped content."""
+    link = F.concat_ws("/", F.lit("https://talk.example"), "conv_id", "turn")
+    document = F.concat(
+        F.lit("<feed><title>conversation "), F.col("conv_id").cast("string"),
+        F.lit('</title><entry><title>'), F.col("role"),
+        F.lit('</title><link rel="self" href="x"/><link href="'), link,
+        F.lit('"/><content type="html">'), _xml(F.col("text")), F.lit("</content></entry></feed>"),
+    )
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return turns.select("conv_id", "turn", document.alias("xml"))
+
+
+def feed_documents_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page as one RSS channel of one entry, its markup as escaped content."""
+    document = F.concat(
+        F.lit("<channel><title>"), _xml(host_of("url")), F.lit("</title><item><title>"),
+        _xml(F.regexp_extract("html", "<title>([^<]*)</title>", 1)),
+        F.lit('</title><guid isPermaLink="true">'), _xml(F.col("url")),
+        F.lit("</guid><content:encoded>"), _xml(F.col("html")),
+        F.lit("</content:encoded></item></channel>"),
+    )
+    pages = texts(spark, sf_dir, "pages", "page_id", "url", "html")
+    return pages.select("page_id", document.alias("xml"))

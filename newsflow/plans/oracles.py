@@ -75,6 +75,16 @@ def ranked(source: str, key: str, text: str) -> str:
 PAGE_HOST = "regexp_extract(url, '^https?://([^/:?#]+)', 1)"
 CATEGORY_LIST = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
 PAGE_CATEGORY = f"{CATEGORY_LIST}[CAST(page_id % 4 + 1 AS INTEGER)]"
+
+
+def _xml_text(c: str) -> str:
+    """A text as it comes out of an XML element: legal characters, line ends as XML reads them,
+    without the blanks around it; an empty element is NULL."""
+    legal = rf"regexp_replace({c}, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')"
+    lines = f"replace(replace({legal}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    return f"nullif(regexp_replace({lines}, '^[{WS}]+|[{WS}]+$', '', 'g'), '')"
+
+
 PAGE_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 
 ENRICHED = f"""SELECT *, title_clean || ' ' || summary_clean || ' ' || content_clean AS full_text
@@ -306,16 +316,19 @@ ORACLES: dict[str, str] = {
     "feed_registry": REGISTRY,
     "feed_registry_join": f"""SELECT p.page_id, r.* FROM pages p
         JOIN ({REGISTRY}) r ON p.url = r.feed_url""",
-    "feed_extract_pages": f"""SELECT md5(url) AS id, {PAGE_TITLE} AS title, '' AS summary,
-        html AS content, url AS link, 'Unknown' AS author, {PAGE_HOST} AS source,
-        {PAGE_CATEGORY} AS category FROM pages""",
+    "feed_extract_pages": f"""SELECT page_id, 0::INTEGER AS entry_pos,
+        nullif(trim({PAGE_TITLE}), '') AS title, url AS link, {_xml_text('html')} AS content,
+        {PAGE_HOST} AS source FROM pages""",
     "feed_extract_rss": f"""SELECT conv_id, turn, CAST(pos AS INTEGER) AS entry_pos,
         role || suffix AS title,
         'https://talk.example/' || conv_id || '/' || turn || '/' || suffix AS link,
         'conversation ' || conv_id AS source,
-        CAST(nullif(length(regexp_replace(CASE WHEN pos = 0 THEN substring(text, 1, 40)
-            ELSE text END, '^[{WS}]+|[{WS}]+$', '', 'g')), 0) AS INTEGER) AS summary_length
+        {_xml_text('CASE WHEN pos = 0 THEN substring(text, 1, 40) ELSE text END')} AS summary
         FROM conversations, (VALUES ('head', 0), ('text', 1)) AS part(suffix, pos)""",
+    "feed_extract_atom": f"""SELECT conv_id, turn, 0::INTEGER AS entry_pos, role AS title,
+        'https://talk.example/' || conv_id || '/' || turn AS link,
+        'conversation ' || conv_id AS source, {_xml_text('text')} AS content
+        FROM conversations""",
     "normalize_articles": f"""SELECT md5(coalesce(l, '')) AS id, coalesce(title, '') AS title,
         props AS summary, '' AS content, coalesce(l, '') AS link, coalesce(author, 'Unknown') AS
         author, coalesce(published, crawled_at) AS published, coalesce(source, 'Unknown') AS source,

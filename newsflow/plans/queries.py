@@ -20,7 +20,9 @@ from newsflow.plans import adapters as A
 from newsflow.schemas import RAW_FIELDS
 from newsflow.sources.articles import decode_articles, encode_articles
 from newsflow.sources.feeds import (
+    ATOM_SCHEMA,
     RSS_SCHEMA,
+    atom_entries,
     attach_category,
     flatten_registry,
     normalize_articles,
@@ -187,24 +189,27 @@ def feed_registry_join(spark, sf):
     return attach_category(pages, _registry(spark, sf))
 
 
+def _parsed(documents: DataFrame, schema: str, *keys: str) -> DataFrame:
+    parsed = F.from_xml("xml", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return documents.select(*keys, parsed.alias("c")).select(*keys, "c.*")
+
+
 def feed_extract_pages(spark, sf):
-    return A.articles_from_pages(spark, sf).select(
-        "id", "title", "summary", "content", "link", "author", "source", "category"
-    )
+    documents = A.feed_documents_from_pages(spark, sf)
+    entries = rss_entries(_parsed(documents, RSS_SCHEMA, "page_id"), "page_id")
+    return entries.select("page_id", "entry_pos", "title", "link", "content", "source")
 
 
 def feed_extract_rss(spark, sf):
     documents = A.feed_documents_from_conversations(spark, sf)
-    channels = documents.select(
-        "conv_id",
-        "turn",
-        F.from_xml("xml", RSS_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("c"),
-    ).select("conv_id", "turn", "c.*")
-    entries = rss_entries(channels, "conv_id", "turn")
-    return entries.select(
-        "conv_id", "turn", "entry_pos", "title", "link", "source",
-        F.length("summary").alias("summary_length"),
-    )
+    entries = rss_entries(_parsed(documents, RSS_SCHEMA, "conv_id", "turn"), "conv_id", "turn")
+    return entries.select("conv_id", "turn", "entry_pos", "title", "link", "source", "summary")
+
+
+def feed_extract_atom(spark, sf):
+    documents = A.atom_documents_from_conversations(spark, sf)
+    entries = atom_entries(_parsed(documents, ATOM_SCHEMA, "conv_id", "turn"), "conv_id", "turn")
+    return entries.select("conv_id", "turn", "entry_pos", "title", "link", "source", "content")
 
 
 def normalize(spark, sf):
@@ -285,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "feed_registry_join": feed_registry_join,
     "feed_extract_pages": feed_extract_pages,
     "feed_extract_rss": feed_extract_rss,
+    "feed_extract_atom": feed_extract_atom,
     "normalize_articles": normalize,
     "encode_article_json": encode_article_json,
     "decode_article_json": decode_article_json,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,19 +19,21 @@ SETTING_PREFIX = "RSS_FEEDS_"
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
-RSS_SCHEMA = """
-title STRING,
+ITEMS = """
 item ARRAY<STRUCT<
-  title: STRING, link: STRING, description: STRING, `content:encoded`: STRING,
-  author: STRING, `dc:creator`: STRING, pubDate: STRING>>,
+  title: STRING, link: STRING, guid: STRUCT<_VALUE: STRING, _isPermaLink: STRING>,
+  description: STRING, `content:encoded`: STRING, author: STRING, `dc:creator`: STRING,
+  pubDate: STRING, `dc:date`: STRING>>,
 _corrupt_record STRING
 """
+RSS_SCHEMA = f"title STRING, {ITEMS}"
+# RSS 1.0 has its items beside the channel.
+RDF_SCHEMA = f"channel STRUCT<title: STRING>, {ITEMS}"
 ATOM_SCHEMA = """
 title STRING,
 entry ARRAY<STRUCT<
   title: STRING, link: ARRAY<STRUCT<_href: STRING, _rel: STRING>>, summary: STRING,
-  content: ARRAY<STRUCT<_VALUE: STRING>>, author: STRUCT<name: STRING>,
-  published: STRING, updated: STRING>>,
+  content: ARRAY<STRING>, author: STRUCT<name: STRING>, published: STRING, updated: STRING>>,
 _corrupt_record STRING
 """
 
@@ -94,15 +97,29 @@ def rss_entries(channels: DataFrame, *carried: str) -> DataFrame:
         F.col("item.title").alias("title"),
         F.col("item.description").alias("summary"),
         F.col("item.content:encoded").alias("content"),
-        F.col("item.link").alias("link"),
+        _item_link(F.col("item")).alias("link"),
         F.coalesce("item.author", "item.dc:creator").alias("author"),
-        F.col("item.pubDate").alias("published"),
+        F.coalesce("item.pubDate", "item.dc:date").alias("published"),
         "source",
     )
 
 
+def _item_link(item: Column) -> Column:
+    """The link, or else the identifier where it is not said to be no permanent link."""
+    permanent = F.lower(F.coalesce(item["guid"]["_isPermaLink"], F.lit("true"))) == "true"
+    return F.coalesce(F.nullif(item["link"], F.lit("")), F.when(permanent, item["guid"]["_VALUE"]))
+
+
+def rdf_entries(feeds: DataFrame, *carried: str) -> DataFrame:
+    """One row per entry of parsed RSS 1.0 documents."""
+    return rss_entries(feeds.withColumn("title", F.col("channel.title")), *carried)
+
+
 def atom_entries(feeds: DataFrame, *carried: str) -> DataFrame:
-    """One row per entry of parsed Atom feeds; the link is the first alternate one."""
+    """One row per entry of parsed Atom feeds; the link is the first alternate one.
+
+    Content is text, or the markup inside the element where it is given as elements.
+    """
     entries = feeds.where(F.col("_corrupt_record").isNull()).select(
         *carried, F.col("title").alias("source"), F.posexplode("entry").alias("entry_pos", "entry")
     )
@@ -114,7 +131,7 @@ def atom_entries(feeds: DataFrame, *carried: str) -> DataFrame:
         "entry_pos",
         F.col("entry.title").alias("title"),
         F.col("entry.summary").alias("summary"),
-        F.get("entry.content", F.lit(0))["_VALUE"].alias("content"),
+        F.get("entry.content", F.lit(0)).alias("content"),
         F.get(alternate, F.lit(0))["_href"].alias("link"),
         F.col("entry.author.name").alias("author"),
         F.coalesce("entry.published", "entry.updated").alias("published"),
@@ -122,21 +139,30 @@ def atom_entries(feeds: DataFrame, *carried: str) -> DataFrame:
     )
 
 
+DIALECTS = {
+    "rss": ("channel", RSS_SCHEMA, rss_entries),
+    "rdf": ("rdf:RDF", RDF_SCHEMA, rdf_entries),
+    "atom": ("feed", ATOM_SCHEMA, atom_entries),
+}
+
+
 def read_feeds(
     spark: SparkSession,
     path: str,
-    dialect: str = "rss",
+    dialect: str = "any",
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Entries of landed feed documents, ``<path>/<md5 of feed address>/<file>.xml``.
 
-    A malformed document yields no rows. Adds ``feed_key`` (the folder) and ``ingested_at``.
+    ``dialect`` is rss, rdf (RSS 1.0) or atom, or ``any`` for folders that hold all of them: each
+    document then gives entries in its own dialect and none in the others. A malformed document
+    yields no rows. Adds ``feed_key`` (the folder) and ``ingested_at``.
     """
-    tag, schema, entries = {
-        "rss": ("channel", RSS_SCHEMA, rss_entries),
-        "atom": ("feed", ATOM_SCHEMA, atom_entries),
-    }[dialect]
+    if dialect == "any":
+        found = [read_feeds(spark, path, d, streaming, max_files_per_trigger) for d in DIALECTS]
+        return reduce(DataFrame.unionByName, found)
+    tag, schema, entries = DIALECTS[dialect]
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("xml").schema(schema).option("rowTag", tag)
     reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")

@@ -123,7 +123,7 @@ def feed_articles_stream(
     spark: SparkSession,
     path: str,
     registry: DataFrame,
-    dialect: str = "rss",
+    dialect: str = "any",
     horizon: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:

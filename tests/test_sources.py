@@ -8,6 +8,7 @@ from newsflow.operators.identity import article_id, dedupe_first_wins
 from newsflow.schemas import RAW_FIELDS
 from newsflow.sources import articles as M
 from newsflow.sources import feeds as S
+from newsflow.streaming import jobs
 
 RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:content="c" xmlns:dc="d"><channel>
 <title>{name}</title>
@@ -22,6 +23,20 @@ ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>
 <summary>s</summary><content type="html">body</content><author><name>Bo</name></author>
 <updated>2024</updated></entry>
 <entry><title>B</title><link rel="alternate" href="http://n/b"/></entry></feed>"""
+RDF = """<?xml version="1.0"?><rdf:RDF xmlns:rdf="r" xmlns="http://purl.org/rss/1.0/" xmlns:dc="d">
+<channel><title>Old feed</title><link>http://o</link></channel>
+<item><title>O1</title><link>http://n/o1</link><description>d</description><dc:date>2003</dc:date></item>
+<item><title>O2</title><link>http://n/o2</link></item></rdf:RDF>"""
+GUIDS = """<rss><channel><title>G</title>
+<item><title>g1</title><guid>http://n/g1</guid></item>
+<item><title>g2</title><guid isPermaLink="true">http://n/g2</guid></item>
+<item><title>g3</title><guid isPermaLink="false">tag:3</guid></item>
+<item><title>g4</title><link>http://n/g4</link><guid isPermaLink="true">http://n/x</guid></item>
+</channel></rss>"""
+XHTML = """<feed xmlns="http://www.w3.org/2005/Atom"><title>X</title><entry><title>x</title>
+<link href="http://n/x"/><content type="xhtml"><div><p>One <b>two</b></p></div></content></entry>
+<entry><title>h</title><link href="http://n/h"/><content type="html">&lt;p&gt;t&lt;/p&gt;</content>
+</entry></feed>"""
 URLS = ("http://f/one", "http://f/two")
 
 
@@ -137,3 +152,54 @@ def test_hot_id_is_cut_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert first.count() == 1000 - 333
     assert first.where("link = ''").first()["entry_pos"] == 0
+
+
+def links(df):
+    return sorted((r["title"], r["link"]) for r in df.select("title", "link").collect())
+
+
+def test_all_dialects_in_one_folder(spark, tmp_path):
+    for name, text in (("1.xml", RSS.format(name="F", link="2")), ("2.xml", ATOM), ("3.xml", RDF)):
+        land(tmp_path, URLS[0], text, name)
+    found = S.read_feeds(spark, str(tmp_path))
+    assert links(found) == sorted([
+        ("One & only", "http://n/1"), ("Two", "http://n/2"), ("No link", None), ("A", "http://n/a"),
+        ("B", "http://n/b"), ("O1", "http://n/o1"), ("O2", "http://n/o2"),
+    ], key=lambda x: x[0])
+    old = {r["title"]: r for r in S.read_feeds(spark, str(tmp_path), "rdf").collect()}
+    assert (old["O1"]["source"], old["O1"]["published"]) == ("Old feed", "2003")
+    assert old["O1"]["summary"] == "d"
+
+
+def test_a_permanent_identifier_stands_for_a_missing_link(spark, tmp_path):
+    land(tmp_path, URLS[0], GUIDS)
+    assert links(S.read_feeds(spark, str(tmp_path), "rss")) == [
+        ("g1", "http://n/g1"), ("g2", "http://n/g2"), ("g3", None), ("g4", "http://n/g4"),
+    ]
+
+
+def test_markup_as_elements_is_content_too(spark, tmp_path):
+    land(tmp_path, URLS[0], XHTML)
+    found = {r["title"]: r["content"] for r in S.read_feeds(spark, str(tmp_path), "atom").collect()}
+    assert found["h"] == "<p>t</p>"
+    assert "<p>" in found["x"] and "two" in found["x"]
+
+
+def test_publishing_a_stream_of_articles(spark, tmp_path):
+    """Landed feeds to encoded messages, as far as files stand for the topic."""
+    land(tmp_path / "feeds", URLS[0], RSS.format(name="First", link="2"))
+    registry = S.registry_from_settings(spark, {"RSS_FEEDS_WORLD": URLS[0]})
+    articles = jobs.feed_articles_stream(spark, str(tmp_path / "feeds"), registry)
+    out, state = str(tmp_path / "topic"), str(tmp_path / "state")
+    query = M.publish_stream(articles, state, "text", {"path": out}).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert query.exception() is None
+    decoded = M.decode_articles(spark.read.text(out))
+    assert links(decoded) == sorted(links(articles_of(spark, tmp_path, registry)))
+
+
+def articles_of(spark, tmp_path, registry):
+    entries = S.read_feeds(spark, str(tmp_path / "feeds"))
+    placed = S.attach_category(entries, registry, F.col("feed_key"))
+    order = ("ingested_at", "category_pos", "feed_pos", "entry_pos")
+    return dedupe_first_wins(S.normalize_articles(placed, *order))
