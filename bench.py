@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the local cores. Every query is run once to warm up
-and then ``BENCH_RUNS`` times (once if it takes over ``SLOW`` seconds); the median is reported.
+and then ``BENCH_RUNS`` times; the median is reported.
 Results go to a no-op sink, so every row and column is computed.
 """
 
@@ -29,7 +29,6 @@ HEADLINE = (
     "sentiment_by_category_pivot latest_articles kpis filtered_kpis articles_over_time "
     "dashboard_keywords dashboard_source_stats filtered_latest"
 ).split()
-SLOW = 5.0
 
 
 def session(cpus: str) -> SparkSession:
@@ -58,8 +57,8 @@ def once(query, spark, sf_dir: str) -> float:
 
 
 def timed(query, spark, sf_dir: str, runs: int) -> float:
-    warm_up = once(query, spark, sf_dir)
-    taken = [once(query, spark, sf_dir) for _ in range(1 if warm_up > SLOW else runs)]
+    once(query, spark, sf_dir)  # to warm up
+    taken = [once(query, spark, sf_dir) for _ in range(runs)]
     return round(statistics.median(taken), 3)
 
 
