@@ -14,15 +14,12 @@ from newsflow.schemas import PROCESSED
 
 def enrich_text(df: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
     """Add ``title_clean``, ``full_text``, ``keywords`` and ``text_length`` to raw articles."""
-    # One expression cleans all three fields, so its constant tables are in the plan once.
-    raw = F.array("title", "summary", "content")
-    cleaned = df.withColumn("_clean", F.transform(raw, X.clean))
-    joined = cleaned.withColumns(
-        {
-            "title_clean": F.get("_clean", F.lit(0)),
-            "full_text": X.join_text(*(F.get("_clean", F.lit(i)) for i in range(3))),
-        }
-    ).drop("_clean")
+    # The three fields are cleaned in one pass over the rows.
+    cleaned = {f"_{c}": X.clean(F.col(c)) for c in ("title", "summary", "content")}
+    joined = df.withColumns(cleaned).withColumn(
+        "full_text", X.join_text(*(F.col(c) for c in cleaned))
+    )
+    joined = joined.withColumn("title_clean", F.col("_title")).drop(*cleaned)
     return joined.withColumns(
         {
             "keywords": K.extract_keywords(F.col("full_text"), top_n),
