@@ -13,6 +13,7 @@ from newsflow.schemas import PROCESSED
 from newsflow.sources.articles import read_processed
 
 ALL = "All"
+FACETS = ("category", "source", "sentiment")
 # Fixed value: seconds for which loaded data counts as fresh.
 FRESH_SECONDS = 60
 # What the dashboard needs; the article texts stay on disk.
@@ -88,11 +89,36 @@ def top_keywords(df: DataFrame, limit: int = R.DEFAULT_TOP_KEYWORDS) -> DataFram
     return counts.orderBy(F.desc("count"), "keyword").limit(limit)
 
 
+def board_tally(df: DataFrame) -> DataFrame:
+    """Counts and sums per facet and clock hour: what all grouped figures can be rolled up from."""
+    hour = F.date_trunc("HOUR", "processed_at").cast(df.schema["processed_at"].dataType)
+    return R.tally(df.withColumn("processed_at", hour), (*FACETS, "processed_at"))
+
+
+def tallied_kpis(tallies: DataFrame) -> DataFrame:
+    """As :func:`kpis`, from a tally."""
+    articles = F.coalesce(F.sum("articles"), F.lit(0))
+    positive = F.sum(F.when(F.col("sentiment") == "positive", F.col("articles")).otherwise(0))
+    return tallies.agg(
+        articles.alias("total_articles"),
+        R.MEASURES["mean_compound"]().alias("avg_sentiment"),
+        F.try_divide(positive * 100.0, articles).alias("positive_pct"),
+        R.MEASURES["mean_length"]().alias("avg_length"),
+    )
+
+
+def tallied_over_time(tallies: DataFrame) -> DataFrame:
+    """As :func:`articles_over_time`, from a tally."""
+    hours = tallies.where(F.col("processed_at").isNotNull()).groupBy("processed_at")
+    return hours.agg(F.sum("articles").alias("count")).orderBy("processed_at")
+
+
 class ArticleBoard:
-    """Processed articles kept ready for repeated filtered views.
+    """Filtered views of the processed table, answered again and again.
 
-    Only the columns the views need are kept, on disk where memory is short. ``articles`` reads the
-    table again once the copy is older than ``fresh_seconds``; ``refresh`` does so at once.
+    A tally per facet and hour is kept, on disk where memory is short; every figure but the keywords
+    and the latest articles is rolled up from it. Those two read their columns of the table. Data
+    older than ``fresh_seconds`` is read again at the next view; ``refresh`` does so at once.
     """
 
     def __init__(
@@ -101,34 +127,46 @@ class ArticleBoard:
         self._spark, self._path, self._keep = spark, path, keep
         self._fresh_seconds = fresh_seconds
         self._loaded: DataFrame | None = None
+        self._tally: DataFrame | None = None
         self._loaded_at = 0.0
 
     def refresh(self) -> DataFrame:
-        if self._loaded is not None and self._keep:
-            self._loaded.unpersist()
-        loaded = read_processed(self._spark, self._path).select(*DASHBOARD_COLUMNS)
-        self._loaded = loaded.persist() if self._keep else loaded
+        if self._tally is not None and self._keep:
+            self._tally.unpersist()
+        self._loaded = read_processed(self._spark, self._path).select(*DASHBOARD_COLUMNS)
+        tally = board_tally(self._loaded)
+        self._tally = tally.persist() if self._keep else tally
         self._loaded_at = time.monotonic()
         return self._loaded
 
-    def articles(self) -> DataFrame:
+    def _ensure_fresh(self) -> None:
         stale = time.monotonic() - self._loaded_at > self._fresh_seconds
-        return self.refresh() if self._loaded is None or stale else self._loaded
+        if self._loaded is None or stale:
+            self.refresh()
+
+    def articles(self) -> DataFrame:
+        self._ensure_fresh()
+        return self._loaded
+
+    def tallies(self) -> DataFrame:
+        self._ensure_fresh()
+        return self._tally
 
     def facets(self, column: str) -> DataFrame:
         """Choices of one facet for a pick list, ``All`` first."""
-        return facet_values(self.articles(), column, with_all=True)
+        return facet_values(self.tallies(), column, with_all=True)
 
     def view(self, **facets: str) -> dict[str, DataFrame]:
         """Every dashboard figure over the chosen facets, as DataFrames."""
+        counted = filter_articles(self.tallies(), **facets)
         chosen = filter_articles(self.articles(), **facets)
         return {
-            "kpis": kpis(chosen),
-            "sentiment_counts": SENTIMENT_COUNTS.over(chosen),
-            "category_counts": CATEGORY_COUNTS.over(chosen),
-            "category_sentiment_counts": CATEGORY_SENTIMENT_COUNTS.over(chosen),
-            "articles_over_time": articles_over_time(chosen),
+            "kpis": tallied_kpis(counted),
+            "sentiment_counts": SENTIMENT_COUNTS.roll_up(counted),
+            "category_counts": CATEGORY_COUNTS.roll_up(counted),
+            "category_sentiment_counts": CATEGORY_SENTIMENT_COUNTS.roll_up(counted),
+            "articles_over_time": tallied_over_time(counted),
             "top_keywords": top_keywords(chosen),
-            "source_stats": SOURCE_STATS.over(chosen),
+            "source_stats": SOURCE_STATS.roll_up(counted),
             "latest": R.latest_articles(chosen),
         }

@@ -107,6 +107,29 @@ def test_board_reads_views_and_refreshes(spark, articles, tmp_path):
     assert board.refresh().count() == 10
 
 
+@pytest.mark.parametrize(
+    "facets", [{}, {"category": "world"}, {"source": "none such"}, {"sentiment": "positive"}]
+)
+def test_views_equal_the_single_figures(spark, articles, tmp_path, facets):
+    path = str(tmp_path / "processed")
+    articles.write.parquet(f"{path}/batch_id=0")
+    board = D.ArticleBoard(spark, path)
+    view, chosen = board.view(**facets), D.filter_articles(board.articles(), **facets)
+    single = {
+        "kpis": D.kpis(chosen),
+        "sentiment_counts": D.SENTIMENT_COUNTS.over(chosen),
+        "category_counts": D.CATEGORY_COUNTS.over(chosen),
+        "category_sentiment_counts": D.CATEGORY_SENTIMENT_COUNTS.over(chosen),
+        "articles_over_time": D.articles_over_time(chosen),
+        "top_keywords": D.top_keywords(chosen),
+        "source_stats": D.SOURCE_STATS.over(chosen),
+        "latest": R.latest_articles(chosen),
+    }
+    for name, df in single.items():
+        assert listed(view[name]) == listed(df), name
+        assert view[name].schema.simpleString() == df.schema.simpleString(), name
+
+
 def test_stored_filter_reaches_the_scan(spark, articles, tmp_path):
     path = str(tmp_path / "scan")
     articles.write.parquet(f"{path}/batch_id=0")
