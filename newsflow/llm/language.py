@@ -7,23 +7,27 @@ every switch, gives each word its language; equal neighbours are a span.
 
 from __future__ import annotations
 
+import itertools
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.llm.word_ids import slices
+
 # Texts learnt from per language (expected number), buckets of n-grams, n-gram lengths.
 SAMPLE, BUCKETS, GRAMS = 4000, 1 << 15, (1, 2, 3, 4)
 # Cost of a switch; score of a language that does not use a word's script; least share of a
 # language's letters for a script to be its own.
 SWITCH, FOREIGN, OWN_SCRIPT = 20.0, -50.0, 0.01
-# Words a worker remembers, words searched at a time, words of a block.
-REMEMBERED, AT_ONCE, BLOCK = 1 << 19, 1 << 18, 64
+# Words of a block.
+BLOCK = 64
 WORD = re.compile(r"[^\W\d_]+")
 SPANS = "array<struct<start:int,end:int,lang:string,letters:int>>"
 
@@ -43,17 +47,35 @@ STARTS = np.array([s for s, _ in SCRIPTS])
 NAMES = sorted({n for _, n in SCRIPTS})
 
 
-def script_of(word: str) -> int:
-    """Number of the script of a word's first letter."""
-    at = int(np.searchsorted(STARTS, ord(word[0]), side="right")) - 1
-    return NAMES.index(SCRIPTS[at][1])
+SCRIPT_OF = np.array([NAMES.index(n) for _, n in SCRIPTS])
+
+
+def scripts_of(words: list[str]) -> np.ndarray:
+    """Number of the script of each word's first letter."""
+    firsts = np.array([ord(w[0]) for w in words], dtype=np.int64)
+    return SCRIPT_OF[np.searchsorted(STARTS, firsts, side="right") - 1]
 
 
-def grams_of(word: str) -> list[int]:
-    """Buckets of the n-grams of a word in lower case, its ends marked."""
-    marked = f"^{word.lower()}$"
-    found = [marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode(errors="replace")) % BUCKETS for g in found]
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of words in lower case, their ends marked, and each word's start.
+
+    A row per length and a column per character at which an n-gram may begin; ``BUCKETS`` stands
+    where it would reach into the next word.
+    """
+    marked = [f"^{w.lower()}$" for w in words]
+    sizes = np.array([len(w) for w in marked])
+    points = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), dtype="<u4")
+    points = np.concatenate([points, np.zeros(max(GRAMS), dtype="<u4")]).astype(np.uint64)
+    word = np.concatenate([np.repeat(np.arange(len(words)), sizes), np.full(max(GRAMS), -1)])
+    n, rows = len(word) - max(GRAMS), []
+    value = np.zeros(n, dtype=np.uint64)
+    for length in range(1, max(GRAMS) + 1):
+        # A polynomial of the code points, its high bits mixed down.
+        value = value * np.uint64(0x100000001B3) + points[length - 1 : n + length - 1] + np.uint64(1)
+        mixed = (value * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKETS.bit_length() + 1)
+        inside = word[length - 1 : n + length - 1] == word[:n]
+        rows.append(np.where(inside, mixed.astype(np.int64), BUCKETS))
+    return np.stack([rows[length - 1] for length in GRAMS]), np.cumsum(sizes) - sizes
 
 
 @dataclass(frozen=True)
@@ -64,11 +86,16 @@ class Model:
     grams: np.ndarray
     scripts: np.ndarray
 
-    def word_scores(self, word: str) -> np.ndarray:
-        scores = self.grams[grams_of(word)].sum(axis=0)
-        own = self.scripts[script_of(word)]
-        scores = scores - scores.max(initial=-np.inf)
-        return np.where(own, scores, FOREIGN) if own.any() else np.zeros(len(own))
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """A row per word: log-odds against the best language, ``FOREIGN`` in languages of other
+        scripts; zeros where no language uses the script."""
+        if not words:
+            return np.zeros((0, len(self.languages)))
+        buckets, starts = grams_of(words)
+        sums = sum(np.add.reduceat(self.grams[row], starts, axis=0) for row in buckets)
+        own = self.scripts[scripts_of(words)]
+        scores = np.where(own, sums - sums.max(axis=1, keepdims=True), FOREIGN)
+        return np.where(own.any(axis=1, keepdims=True), scores, 0.0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -80,16 +107,18 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """N-grams (bucket from 0) and letters by script (bucket below 0) per language."""
     for frame in frames:
         for lang, texts in frame.groupby("lang")["text"]:
-            grams = np.zeros(BUCKETS + len(NAMES), dtype=np.int64)
-            words: dict[str, int] = {}
-            for text in texts:
-                for word in WORD.findall(text):
-                    words[word] = words.get(word, 0) + 1
-            for word, n in words.items():
-                np.add.at(grams, grams_of(word), n)
-                grams[BUCKETS + script_of(word)] += n * len(word)
-            filled = np.flatnonzero(grams)
-            yield pd.DataFrame({"lang": lang, "bucket": filled, "n": grams[filled]})
+            for some in slices(list(texts)):
+                found = Counter(w for text in some for w in WORD.findall(text))
+                words, times = list(found), np.array(list(found.values()))
+                if not words:
+                    continue
+                buckets, starts = grams_of(words)
+                often = np.repeat(times, np.diff([*starts, buckets.shape[1]]))
+                total = np.bincount(buckets.ravel(), np.tile(often, len(GRAMS)), BUCKETS + 1)[:-1]
+                letters = times * np.array([len(w) for w in words])
+                total = np.concatenate([total, np.bincount(scripts_of(words), letters, len(NAMES))])
+                filled = np.flatnonzero(total)
+                yield pd.DataFrame({"lang": lang, "bucket": filled, "n": total[filled].astype(int)})
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
@@ -120,6 +149,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
             total[row["bucket"], place[row["lang"]]] = row["n"]
     grams, letters = total[:BUCKETS], total[BUCKETS:]
     smooth = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
+    smooth = np.concatenate([smooth, np.zeros((1, len(languages)))])  # for the bucket of no n-gram
     used = letters > OWN_SCRIPT * letters.sum(axis=0)
     return Model(languages, smooth, used)
 
@@ -134,21 +164,21 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
     k = scores.shape[1]
     blocks = -(-lengths // BLOCK)
     first = np.cumsum(blocks) - blocks
-    padded = np.zeros((int(blocks.sum()), BLOCK, k))
+    padded = np.zeros((int(blocks.sum()), BLOCK, k), dtype=np.float32)
     text = np.repeat(np.arange(len(lengths)), lengths)
     inside = np.arange(len(scores)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     where = first[text] + inside // BLOCK, inside % BLOCK
     padded[where] = scores
 
-    across = np.where(np.eye(k, dtype=bool), 0.0, -1e12)[None].repeat(len(padded), axis=0)
+    apart = np.where(np.eye(k, dtype=bool), 0.0, -1e12).astype(np.float32)
+    across = apart[None].repeat(len(padded), axis=0)
     for t in range(BLOCK):
         across = np.maximum(across, across.max(axis=2, keepdims=True) - switch)
         across += padded[:, t, None, :]
 
     order = np.argsort(-blocks, kind="stable")
     sizes, starts = blocks[order], first[order]
-    value = np.zeros((len(order), k))
-    entry = np.zeros((len(padded), k))
+    value, entry = np.zeros((len(order), k)), np.zeros((len(padded), k))
     for j in range(int(sizes.max(initial=0))):
         on = int(np.searchsorted(-sizes, -j, side="left"))
         entry[starts[:on] + j] = value[:on]
@@ -163,8 +193,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
         label[:on] = begin[at] = reached.argmax(axis=1)
 
     rows = np.arange(len(padded))
-    state = np.full((len(padded), k), -1e12)
-    state[rows, begin] = 0.0
+    state = apart[begin].copy()
     back = np.empty((BLOCK, len(padded), k), dtype=np.int16)
     for t in range(BLOCK):
         top = state.argmax(axis=1)
@@ -180,52 +209,31 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
     return path[where]
 
 
-class _Labeller:
-    """Spans of texts, with the scores of words seen before."""
-
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.scores = np.empty((1024, len(self.model.languages)))
-
-    def places(self, words: list[str]) -> list[int]:
-        place = self.place
-        for word in words:
-            if word not in place:
-                if len(place) == len(self.scores):
-                    self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
-                self.scores[len(place)] = self.model.word_scores(word)
-                place[word] = len(place)
-        return [place[w] for w in words]
-
-    def spans(self, texts: list[str]) -> list[list[dict]]:
-        if len(self.place) > REMEMBERED:
-            self.clear()
-        words = [WORD.findall(t) for t in texts]
-        lengths = np.array([len(w) for w in words])
-        if not lengths.sum() or not self.model.languages:
-            return [[] for _ in texts]
-        places = [p for some in words for p in self.places(some)]
-        labels = viterbi(self.scores[places], lengths)
-        out, at = [], 0
-        for text, some in zip(texts, words):
-            own = labels[at : at + len(some)]
-            at += len(some)
-            cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(some)]
-            begins = [0, len(text)]
-            if len(cuts) > 2:
-                places_in_text = [m.start() for m in WORD.finditer(text)]
-                begins = [0, *(places_in_text[c] for c in cuts[1:-1]), len(text)]
-            out.append([
-                {"start": begins[i], "end": begins[i + 1],
-                 "lang": self.model.languages[own[cuts[i]]],
-                 "letters": sum(map(len, some[cuts[i] : cuts[i + 1]]))}
-                for i in range(len(cuts) - 1) if some
-            ])
-        return out
+def spans_of(texts: list[str], model: Model) -> list[list[dict]]:
+    """Spans of texts. The distinct words are scored together, then gathered in order."""
+    words = [WORD.findall(t) for t in texts]
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    if not lengths.sum() or not model.languages:
+        return [[] for _ in texts]
+    flat = pa.array(list(itertools.chain.from_iterable(words)), pa.string()).dictionary_encode()
+    scores = model.word_scores(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
+    labels = viterbi(scores[flat.indices.to_numpy()], lengths)
+    letters = np.concatenate(([0], np.cumsum([len(w) for some in words for w in some])))
+    out, at = [], 0
+    for text, n in zip(texts, lengths.tolist()):
+        own = labels[at : at + n]
+        cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), n]
+        begins = [0, len(text)]
+        if len(cuts) > 2:
+            places = [m.start() for m in WORD.finditer(text)]
+            begins = [0, *(places[c] for c in cuts[1:-1]), len(text)]
+        out.append([
+            {"start": begins[i], "end": begins[i + 1], "lang": model.languages[own[cuts[i]]],
+             "letters": int(letters[at + cuts[i + 1]] - letters[at + cuts[i]])}
+            for i in range(len(cuts) - 1) if n
+        ])
+        at += n
+    return out
 
 
 def spans(text: Column, model: Model) -> Column:
@@ -236,16 +244,10 @@ def spans(text: Column, model: Model) -> Column:
 
     @F.pandas_udf(SPANS)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        labeller = _Labeller(model)
         for batch in batches:
-            out, taken, size = [], [], 0
-            for t in batch:
-                if taken and size > 6 * AT_ONCE:
-                    out += labeller.spans(taken)
-                    taken, size = [], 0
-                taken.append(t or "")
-                size += len(taken[-1])
-            yield pd.Series(out + labeller.spans(taken), dtype=object)
+            texts = [t or "" for t in batch]
+            found = [spans_of(some, model) for some in slices(texts)]
+            yield pd.Series(list(itertools.chain.from_iterable(found)), dtype=object)
 
     return found(text.cast("string"))
 

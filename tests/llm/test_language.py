@@ -83,7 +83,7 @@ def test_spans_of_mixed_text(documents, model):
     by = {lang: next(r["text"] for r in documents if r["lang"] == lang and 600 < r["n_chars"] < 900)
           for lang in model.languages}
     text = " ".join(by[x] for x in ("de", "en", "fr"))
-    found = L._Labeller(model).spans([text])[0]
+    found = L.spans_of([text], model)[0]
     assert [s["lang"] for s in found] == ["de", "en", "fr"]
     assert abs(found[0]["end"] - len(by["de"])) < 40 and found[-1]["end"] == len(text)
 
@@ -93,9 +93,22 @@ def test_scripts_narrow_the_candidates(spark):
     rows += [(i + 40, "these are words of a text", "en") for i in range(40)]
     model = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     place = model.languages.index("ru")
-    assert model.word_scores("слово")[place] == 0 and model.word_scores("слово")[1 - place] == L.FOREIGN
-    assert (model.word_scores("漢字") == 0).all()  # nobody's script: no evidence
-    assert L.NAMES[L.script_of("漢")] == "han" and L.NAMES[L.script_of("é")] == "latin"
+    own, none = model.word_scores(["слово", "漢字"])
+    assert own[place] == 0 and own[1 - place] == L.FOREIGN
+    assert (none == 0).all()  # nobody's script: no evidence
+    assert [L.NAMES[i] for i in L.scripts_of(["漢", "é"])] == ["han", "latin"]
+
+
+def test_grams_are_those_of_each_word_alone():
+    words = ["the", "a", "Straße", "ИЗ", "the", "abcdefgh"]
+    buckets, starts = L.grams_of(words)
+    for k, word in enumerate(words):
+        alone, _ = L.grams_of([word])
+        end = starts[k + 1] if k + 1 < len(words) else buckets.shape[1]
+        assert np.array_equal(buckets[:, starts[k] : end], alone)
+        marked = len(word.lower()) + 2
+        assert (alone < L.BUCKETS).sum() == sum(max(0, marked - n + 1) for n in L.GRAMS)
+    assert len({tuple(L.grams_of([w])[0].ravel()) for w in words}) == 5
 
 
 def test_odd_rows(frame, model):
