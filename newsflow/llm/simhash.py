@@ -11,7 +11,6 @@ than a spanning forest of its links, and components are found on these.
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
