@@ -342,6 +342,17 @@ ORACLES: dict[str, str] = {
     "encode_article_json": f"SELECT {_json_pairs()} AS value FROM ({RAW_DOCUMENTS})",
     "decode_article_json": f"""SELECT *, CAST(NULL AS VARCHAR) AS published,
         CAST(NULL AS VARCHAR) AS crawled_at FROM ({RAW_DOCUMENTS})""",
+    "malformed_messages": """SELECT '{"title' || CAST(doc_id AS VARCHAR) AS value FROM documents
+        WHERE doc_id % 7 = 0""",
+    "blank_articles": """SELECT doc_id, 'neutral' AS sentiment, 0.0::DOUBLE AS sentiment_compound,
+        0.0::DOUBLE AS sentiment_pos, 0.0::DOUBLE AS sentiment_neg, 1.0::DOUBLE AS sentiment_neu
+        FROM documents""",
+    "run_reports": f"""SELECT 'sentiment_distribution' AS report, sentiment AS key, count
+        FROM ({counts(EVENTS, "sentiment")}) UNION ALL
+        SELECT 'hourly_activity', CAST(hour(processed_at) AS VARCHAR), count(*) FROM {EVENTS}
+        GROUP BY hour(processed_at) UNION ALL
+        SELECT 'top_keywords', keyword, count FROM (
+            {keyword_counts(EVENTS, "trim(lower(k))", "keyword <> ''")})""",
     "article_id": "SELECT url, md5(url) AS id FROM pages",
     "dedupe_first_wins": f"""SELECT * EXCLUDE (rank) FROM (SELECT *, row_number() OVER (
         PARTITION BY id ORDER BY ingested_at, category_pos, feed_pos, entry_pos) AS rank

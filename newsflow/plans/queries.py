@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,7 @@ from newsflow.operators.enrich import enrich_text, process_articles
 from newsflow.operators.identity import article_id, dedupe_first_wins
 from newsflow.operators.sentiment import score_with_marks
 from newsflow.plans import adapters as A
-from newsflow.schemas import RAW_FIELDS
-from newsflow.sources.articles import decode_articles, encode_articles
+from newsflow.sources.articles import decode_articles, encode_articles, malformed_messages
 from newsflow.sources.feeds import (
     ATOM_SCHEMA,
     RSS_SCHEMA,
@@ -122,6 +122,14 @@ def _scored(spark, sf, lookup: str = "auto", context: bool = False) -> DataFrame
     )
 
 
+def blank_articles(spark, sf):
+    """Articles of white space alone, as long as the documents: neutral without a look-up."""
+    blank = F.regexp_replace("text", r"\S", " ").alias("full_text")
+    documents = A.texts(spark, sf, "documents", "doc_id", "text").select("doc_id", blank)
+    scored = score_with_marks(documents, A.marks_from_documents(spark, sf))
+    return _rounded(scored.drop("full_text"), *SCORES)
+
+
 SCORES = ("sentiment_compound", "sentiment_pos", "sentiment_neg", "sentiment_neu")
 
 
@@ -238,6 +246,16 @@ def decode_article_json(spark, sf):
     return decode_articles(encode_articles(A.articles_from_documents(spark, sf)))
 
 
+def malformed(spark, sf):
+    """Messages of which every seventh is cut short: those that yield no field."""
+    messages = A.texts(spark, sf, "documents", "doc_id", "text").select(
+        F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"title'), F.col("doc_id")))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("content"))))
+        .alias("value")
+    )
+    return malformed_messages(messages)
+
+
 def article_ids(spark, sf):
     return A.table(spark, sf, "pages").select("url", article_id(F.col("url")).alias("id"))
 
@@ -261,6 +279,20 @@ def _facet(column: str) -> Query:
     return _over_events(lambda df: D.facet_values(df, column))
 
 
+def all_reports(df: DataFrame) -> DataFrame:
+    """The counts of all reports of one run, one table."""
+    results = R.run_reports(df)
+    shown = {"sentiment_distribution": "sentiment", "hourly_activity": "hour",
+             "top_keywords": "keyword"}
+    parts = [
+        results[name].select(
+            F.lit(name).alias("report"), F.col(key).cast("string").alias("key"), "count"
+        )
+        for name, key in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 KPIS = ("avg_sentiment", "positive_pct", "avg_length")
 
 QUERIES: dict[str, Query] = {
@@ -282,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "lexicon_sentiment": lexicon_sentiment,
     "lexicon_sentiment_joined": lexicon_sentiment_joined,
     "context_sentiment": context_sentiment,
+    "blank_articles": blank_articles,
     "classify_sentiment": classify_sentiment,
     "process_article": process_article,
     "category_sentiment_documents": category_sentiment_documents,
@@ -294,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "normalize_articles": normalize,
     "encode_article_json": encode_article_json,
     "decode_article_json": decode_article_json,
+    "malformed_messages": malformed,
     "article_id": article_ids,
     "dedupe_first_wins": dedupe,
     "sentiment_distribution": _over_events(R.SENTIMENT_DISTRIBUTION.over),
@@ -302,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "source_analysis": _over_events(R.SOURCE_ANALYSIS.over, "avg_sentiment", "avg_length"),
     "hourly_activity": _over_events(R.HOURLY_ACTIVITY.over),
     "sentiment_by_category_pivot": _over_events(R.SENTIMENT_PIVOT.over),
+    "run_reports": _over_events(all_reports),
     "latest_articles": _over_events(R.latest_articles, "sentiment_compound"),
     "filter_articles": _over_events(_chosen, "sentiment_compound"),
     "facet_category": _facet("category"),
