@@ -7,7 +7,9 @@ indexes and a Bloom filter on the document id, so a look-up skips files, stripes
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -16,47 +18,121 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsflow.llm.word_ids import WordMemory, as_lists, joined, slices
+
 END_ID = 0
-#: Characters encoded at a time, bytes of a stripe, rows of an index entry, rows of a file.
-CHARS, STRIPE, STRIDE = 1 << 20, 16 << 20, 1000
+# Bytes of a stripe, rows of an index entry.
+STRIPE, STRIDE = 16 << 20, 1000
 FILE_COLUMNS = "doc_id long, part int, place long, n_tokens long, ids array<int>"
 
 
-@functools.cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+# Rules under which words are encoded on their own: no normalising, and words that take the one
+# space before them along.
+SEPARABLE = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+WORD = re.compile(r" ?[^\W_]++(?!')| ?\S+|\s+(?!\S)|\s+")
+# A character that stands between words encoded together, and its sign in the vocabulary.
+BETWEEN, BETWEEN_SIGN = "\0", "Ā"
+# Words that a worker keeps before it forgets those not met again.
+REMEMBERED = 1 << 18
+
+
+def _signs() -> dict[int, int]:
+    """The sign of every byte in byte-level vocabularies: printable ones stand for themselves, the
+    rest for the characters from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+
+
+SIGNS = _signs()
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
 
+class Encoder:
+    """Ids of texts, as little-endian 32-bit integers.
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    taken, size = [], 0
-    for text in texts:
-        if taken and size + len(text) > CHARS:
-            yield taken
-            taken, size = [], 0
-        taken.append(text)
-        size += len(text)
-    if taken:
-        yield taken
+    Where the tokenizer's rules separate words, a text is cut at places between which they never
+    join: into runs of letters and digits, other runs (whole words around an apostrophe), both with
+    the space before, and remaining white space. Those not met lately are encoded in one call, the
+    rest is looked up. Under other rules whole texts are encoded.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        words, pieces = rules.get("pre_tokenizer") or {}, self.tokenizer.get_vocab()
+        self.between = pieces.get(BETWEEN_SIGN)
+        self.separable = (
+            not rules.get("normalizer")
+            and all(words.get(k) == v for k, v in SEPARABLE.items())
+            and [p for p in pieces if BETWEEN_SIGN in p] == [BETWEEN_SIGN]
+        )
+        if self.separable:
+            # The same merges over words that are already cut, in signs for bytes.
+            cut = {"type": "Split", "pattern": {"String": BETWEEN_SIGN}, "behavior": "Isolated",
+                   "invert": False}
+            rules |= {"pre_tokenizer": cut, "added_tokens": [], "decoder": None}
+            self.merger = Tokenizer.from_str(json.dumps(rules))
+        self.memory = WordMemory(REMEMBERED)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<i4").tobytes() for x in found]
+
+    def _between(self, words: list[str], encoded) -> dict[str, bytes]:
+        """Ids of words that were encoded as one text, cut at the ids between them."""
+        ids = np.array(encoded.ids, dtype="<i4")
+        cuts = np.flatnonzero(ids == self.between).tolist()
+        data = ids.tobytes()
+        starts, ends = [0, *(4 * c + 4 for c in cuts)], [*(4 * c for c in cuts), len(data)]
+        return {w: data[a:b] for w, a, b in zip(words, starts, ends, strict=True)}
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words. Words of letters alone are one word to the tokenizer's rules as well and
+        only need merging; others go through all its rules, alone where a word after them would
+        change them."""
+        letters = [w for w in words if w.lstrip(" ").isalpha()]
+        others = list(set(words).difference(letters))
+        odd = [w for w in others if not w or BETWEEN in w or w[0] == "'" or w[-1].isspace() and w != "\n"]
+        plain = list(set(others).difference(odd))
+        out = dict(zip(odd, self.whole(odd)))
+        if letters:
+            signs = BETWEEN.join(letters).encode().decode("latin-1").translate(SIGNS)
+            out |= self._between(letters, self.merger.encode_batch_fast([signs])[0])
+        if plain:
+            joint = self.tokenizer.encode_batch_fast([BETWEEN.join(plain)], add_special_tokens=False)
+            out |= self._between(plain, joint[0])
+        return out
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and their number per text."""
+        end = np.array([END_ID], dtype="<i4").tobytes()
+        if not self.separable:
+            return joined([[t] for t in texts], lambda some: [x + end for x in self.whole(some)])
+        # The end id stands for an empty word, of which a text has none.
+        words = [[*WORD.findall(t), ""] for t in texts]
+        return joined(words, lambda w: [x or end for x in self.memory.ids(w, self._words)])
+
+
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _encoded(path: str):
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        encoder = _encoder(path)
         for frame in frames:
-            texts = [t or "" for t in frame.column("text").to_pylist()]
-            lists = []
-            for some in _slices(texts):
-                for encoding in tokenizer.encode_batch_fast(some, add_special_tokens=False):
-                    lists.append(np.append(np.array(encoding.ids, dtype=np.int32), END_ID))
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-            values = np.concatenate(lists).astype(np.int32) if lists else np.empty(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.RecordBatch.from_arrays([frame.column("doc_id"), ids], ["doc_id", "ids"])
+            at = 0
+            for some in slices([t or "" for t in frame.column("text").to_pylist()]):
+                ids = as_lists([encoder.encode(some)])
+                keys = frame.column("doc_id").slice(at, len(some))
+                yield pa.RecordBatch.from_arrays([keys, ids], ["doc_id", "ids"])
+                at += len(some)
 
     return batches
 

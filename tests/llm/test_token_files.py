@@ -1,9 +1,12 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow.dataset as ds
 import pyarrow.orc as orc
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from newsflow.llm import token_files as T
@@ -15,10 +18,12 @@ ROWS = [
 ]
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+TOKENIZER.encode_special_tokens = True
+
+
 def ids_of(text):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def expected(rows):
@@ -55,8 +60,7 @@ def test_odd_rows_round_trip(spark, frame, tmp_path):
     found = T.token_digests(spark, path).orderBy("start").collect()
     assert [r.n_tokens for r in found] == [len(ids) for _, ids in stored]
     assert [r.start for r in found] == list(np.cumsum([0] + [len(x) for _, x in stored])[:-1])
-    tokenizer = Tokenizer.from_file(PATH)
-    assert tokenizer.decode(stored[-1][1][:-1], skip_special_tokens=False) == "é" * 50_000
+    assert TOKENIZER.decode(stored[-1][1][:-1], skip_special_tokens=False) == "é" * 50_000
 
 
 def test_files_have_bloom_filters_and_stripes(spark, frame, tmp_path):
@@ -78,6 +82,35 @@ def test_files_have_bloom_filters_and_stripes(spark, frame, tmp_path):
     assert [r.doc_id for r in look_up.collect()] == [7]
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.characters(codec="utf-8"), max_size=40))
+def test_words_are_encoded_as_in_whole_texts(text):
+    encoder = T._encoder(PATH)
+    assert encoder.separable
+    ids, sizes = encoder.encode([text])
+    assert ids.tolist() == ids_of(text) and sizes.tolist() == [len(ids)]
+
+
+def test_spaces_marks_and_apostrophes_and_forgetting(monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED", 30)
+    encoder, rng = T.Encoder(PATH), random.Random(2)
+    texts = ["".join(rng.choice("ab'sd1²½ \n\t\xa0\0 .,-日é🙂_") for _ in range(rng.randrange(40)))
+             for _ in range(5000)]
+    for some in (texts[i : i + 7] for i in range(0, len(texts), 7)):
+        ids, sizes = encoder.encode(some)
+        assert ids.tolist() == [i for t in some for i in ids_of(t)]
+        assert sizes.tolist() == [len(ids_of(t)) for t in some]
+
+
+def test_rules_that_do_not_separate_words_encode_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, plain = T.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.separable
+    ids, sizes = encoder.encode(["Hello there, World", ""])
+    expected = [*plain.encode("Hello there, World", add_special_tokens=False).ids, 0, 0]
+    assert ids.tolist() == expected and sizes.tolist() == [len(expected) - 1, 1]
+
+
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     T.write_token_files(df, path := str(tmp_path / "ids"), PATH, files=2)
