@@ -19,8 +19,8 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -68,12 +68,15 @@ class Vocabulary:
         self.score = {self.pieces[i]: model.get_score(i) for i in plain}
         self.id = {self.pieces[i]: i for i in plain}
         self.word = WORD if any(map(_mixed, self.score)) else LETTERS
-        # Lengths, longest first, of the pieces that end in two characters.
-        self.lengths: dict[str, list[int]] = {}
+        # Lengths, longest first, of the pieces that end in three (shorter ones: their) characters.
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        ends: dict[str, set[int]] = {}
         for piece in self.score:
             if len(piece) > 1:
-                self.lengths.setdefault(piece[-2:], []).append(len(piece))
-        self.lengths = {k: sorted(set(v), reverse=True) for k, v in self.lengths.items()}
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        for end, found in ends.items():
+            shorter = ends.get(end[1:], set()) if len(end) == 3 else set()
+            self.lengths[end] = tuple(sorted(found | shorter, reverse=True))
         self.least = min(self.score.values(), default=0.0)
         self.memory = WordMemory(REMEMBERED)
         # By piece: the pieces before it that were tested, and whether they stay apart.
@@ -142,12 +145,17 @@ class Vocabulary:
             else:
                 taken, by_right, left = score_a, False, a[1]
 
+    def _lengths(self, word: str, end: int) -> tuple[int, ...]:
+        """Lengths above one that the last piece of ``word[:end]`` may have, longest first."""
+        found = self.lengths.get(word[max(0, end - 3) : end])
+        return found if found is not None else self.lengths.get(word[max(0, end - 2) : end], ())
+
     def _best_steps(self, word: str, done: int, states: list[tuple[str, float]]) -> None:
         """Extend the best paths to the prefixes of a word: the last piece and the score of each."""
         for end in range(done + 1, len(word) + 1):
             score = self.score.get(word[end - 1], self.least - UNKNOWN_PENALTY)
             best = (word[end - 1], states[end - 1][1] + score)
-            for length in self.lengths.get(word[max(0, end - 2) : end], ()):
+            for length in self._lengths(word, end):
                 piece = word[end - length : end] if length <= end else ""
                 score = self.score.get(piece)
                 if score is not None and states[end - length][1] + score > best[1]:
@@ -156,22 +164,23 @@ class Vocabulary:
 
     def _merged_steps(self, word: str, done: int, states: list[str]) -> None:
         """Extend what merging makes of the prefixes of a word: the last piece of each."""
-        pairs, lengths, states_add = self.pairs.get, self.lengths.get, states.append
+        pairs, lengths = self.pairs.get, self.lengths.get
         for end in range(done + 1, len(word) + 1):
             last = word[end - 1]
-            for length in lengths(word[end - 2 : end] if end > 1 else last, ()):
-                if length > end:
-                    continue
-                piece = word[end - length : end]
-                known = pairs(piece)
-                if known is None:
-                    continue
-                before = states[end - length]
-                apart = known.get(before)
-                if apart or apart is None and self.apart(before, piece):
-                    last = piece
-                    break
-            states_add(last)
+            found = lengths(word[end - 3 : end]) if end > 2 else None
+            if found is None:
+                found = lengths(word[end - 2 : end], ()) if end > 1 else ()
+            for length in found:
+                if length <= end:
+                    piece = word[end - length : end]
+                    known = pairs(piece)
+                    if known is not None:
+                        before = states[end - length]
+                        apart = known.get(before)
+                        if apart or apart is None and self.apart(before, piece):
+                            last = piece
+                            break
+            states.append(last)
 
     def _ids(self, word: str, lasts: list[str]) -> bytes:
         pieces, end = [], len(word)
@@ -187,7 +196,7 @@ class Vocabulary:
                 out.extend(self.bytes[b] for b in piece.encode())
             else:
                 out.append(self.unknown)
-        return np.array(out, dtype="<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *out)
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words, as little-endian integers, by one walk of their trie."""
@@ -196,7 +205,11 @@ class Vocabulary:
         states: list = [("", 0.0)] if unigram else [""]
         before = ""
         for word in sorted(words):
-            shared = len(commonprefix((before, word)))
+            shared = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                shared += 1
             del states[shared + 1 :]
             (self._best_steps if unigram else self._merged_steps)(word, shared, states)
             out[word] = self._ids(word, [piece for piece, _ in states] if unigram else states)
