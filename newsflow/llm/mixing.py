@@ -21,10 +21,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.scratch import written
+from newsflow.operators.scratch import written
 
-# Labelled documents learnt from (expected number), hash buckets of words and of metadata, rounds.
-SAMPLE, WORDS, METADATA, ROUNDS = 10_000, 1024, 256, 40
+# Labelled documents learnt from (expected number) and their parts, hash buckets of words and of
+# metadata, rounds of fitting.
+SAMPLE, SAMPLE_PARTS, WORDS, METADATA, ROUNDS = 10_000, 8, 1024, 256, 40
 STEPS, CLOSE = 40, 1e-4
 
 
@@ -100,7 +101,9 @@ def learn_domains(docs: DataFrame, at: Columns = Columns(), sample: int = SAMPLE
         return Classifier(domains, None)
     share = min(1.0, sample / sum(r["count"] for r in named))
     place = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
-    chosen = _worded(labelled.where(_draw(at.doc_id) < share), at).drop("whole")
+    chosen = _worded(labelled.where(_draw(at.doc_id) < share), at).drop("whole", "doc_id")
+    # A bounded table in few parts: the rounds of fitting must not run over all parts of the corpus.
+    chosen = written(chosen.repartition(SAMPLE_PARTS), "labelled")
     stages = [
         HashingTF(numFeatures=WORDS, inputCol="words", outputCol="word_counts"),
         Normalizer(p=2.0, inputCol="word_counts", outputCol="word_shares"),

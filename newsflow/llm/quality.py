@@ -18,8 +18,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.operators.scratch import written
+
 # Texts the scorer is fitted to (expected number), hash buckets, rounds of fitting.
-SAMPLE, BUCKETS, ROUNDS = 20_000, 4096, 60
+SAMPLE, SAMPLE_PARTS, BUCKETS, ROUNDS = 20_000, 8, 4096, 60
 KEEP_FROM = 0.5
 ABSTAIN, GOOD, BAD = 0, 1, 2
 
@@ -140,11 +142,10 @@ def learn(
     belief = table[vote_pattern(F.col("shape"))]
     sides = F.array(F.struct(F.lit(1.0).alias("label"), F.col("belief").alias("weight")),
                     F.struct(F.lit(0.0).alias("label"), (1 - F.col("belief")).alias("weight")))
-    examples = (
-        chosen.select("tokens", belief.alias("belief"))
-        .select("tokens", F.inline(sides))
-        .where("weight > 0.001")
-    )
+    # A bounded table in few parts: the rounds of fitting must not run over all parts of the corpus.
+    believed = chosen.select("tokens", belief.alias("belief")).repartition(SAMPLE_PARTS)
+    examples = written(believed, "examples").select("tokens", F.inline(sides))
+    examples = examples.where("weight > 0.001")
     scorer = Pipeline(
         stages=[
             HashingTF(numFeatures=BUCKETS, inputCol="tokens", outputCol="counts"),
