@@ -35,7 +35,7 @@ ROLES = set(
     "toolbar tablist status tooltip".split()
 )
 WORDS = set(
-    "ad ads adbox adslot advert adverts advertisement advertising adsense banner billboard breadcrumb "
+    "ad ads adsbygoogle adbox adslot advert adverts advertisement advertising adsense banner billboard breadcrumb "
     "breadcrumbs cookie cookies consent gdpr notice notices notification alert disclaimer nav navbar "
     "navigation menu menus sidebar widget widgets related recommended recommendations recirculation "
     "share sharing social sponsor sponsored promo promotion promoted outbrain taboola comment comments "
