@@ -37,7 +37,7 @@ LETTERS = re.compile(
     rf"{MARK}*(?:[^\W\d_{NUMERALS}]+|(?:(?!{MARK})[\W\d_{NUMERALS}])+)|{MARK}+"
 )
 # Words (and pairs of pieces) that a worker keeps before it forgets those not met again.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 UNKNOWN_PENALTY = 10.0
 
 
@@ -286,19 +286,38 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, ids, n_tokens and decoded (the text of the ids).
+    """One row per row of ``docs``: doc_id, ids, n_tokens, decoded (the text of the ids) and
+    round_trip (whether that is the text).
 
-    Decoding gives the text back. NULL and empty texts have no ids and an empty decoded text; a text
-    that holds the mark itself decodes it to a space, as the vocabulary cannot tell them apart.
-    Repeated rows give repeated rows, an empty table an empty table; other columns are not looked
-    at. Nothing is shuffled.
+    NULL and empty texts have no ids and an empty decoded text; a text that holds the mark itself
+    decodes it to a space, as the vocabulary cannot tell them apart. Repeated rows give repeated
+    rows, an empty table an empty table; other columns are not looked at. Nothing is shuffled. A
+    task encodes and decodes in one worker, a bounded run of texts at a time.
     """
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), encode(F.col(text_col), model_path, kind).alias("ids")
+        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    return rows.select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        decode(F.col("ids"), model_path, kind).alias("decoded"),
+
+    def encoded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(model_path, kind)
+        for frame in frames:
+            at = 0
+            for some in slices([t or "" for t in frame.column("text").to_pylist()]):
+                ids, counts = known.encode(some)
+                ends = np.cumsum(counts)
+                decoded = [known.decode(ids[b - n : b]) for b, n in zip(ends, counts)]
+                columns = {
+                    "doc_id": frame.column("doc_id").slice(at, len(some)),
+                    "ids": as_lists([(ids, counts)]),
+                    "n_tokens": pa.array(counts, pa.int64()),
+                    "decoded": pa.array(decoded, pa.string()),
+                    "round_trip": pa.array([a == b for a, b in zip(decoded, some)], pa.bool_()),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+                at += len(some)
+
+    kept = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(
+        encoded,
+        f"doc_id {kept}, ids array<int>, n_tokens long, decoded string, round_trip boolean",
     )

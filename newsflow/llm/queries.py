@@ -63,19 +63,10 @@ def op5_license_scan(spark, sf_dir):
 
 def op6_sentencepiece(spark, sf_dir):
     """Ids of every document and whether they decode to its text again."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = pieces.encode(F.col("text"), model)
-    rows = docs.select("doc_id", "text", ids.alias("ids"))
-    decoded = pieces.decode(F.col("ids"), model)
-    return rows.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.xxhash64("ids").alias("ids_hash"),
-        (decoded == F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" "))).alias(
-            "round_trip"
-        ),
+    found = pieces.encode_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+    return found.select("doc_id", "n_tokens", F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 
 def op7_token_files(spark, sf_dir):

@@ -32,7 +32,7 @@ def test_whole_table_equals_the_library(spark, documents, model):
     found = {r.doc_id: r for r in P.encode_documents(df, PATH).collect()}
     for row in documents:
         assert found[row["doc_id"]].ids == model.encode(row["text"])
-        assert found[row["doc_id"]].decoded == row["text"]
+        assert found[row["doc_id"]].decoded == row["text"] and found[row["doc_id"]].round_trip
         assert found[row["doc_id"]].n_tokens == len(found[row["doc_id"]].ids)
 
 
