@@ -1,10 +1,12 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one per block. Blocks of menus, notices and the like become blank
-lines. Over sliding windows of lines the text lengths are summed; where the sum surges from nothing
-a run of text begins, where it dives to nothing the run ends, and the text between is kept. Inside
-an ``article`` or ``main`` element every run is text of the page; without one, runs that are short
-against the longest are left out, and text in links does not count as text.
+Markup is stripped into lines, one per block. Text in links does not count. Over sliding windows of
+lines the text lengths are summed; where the sum surges from nothing a run of text begins, where it
+dives to nothing the run ends, so a list of links cuts runs and a single line of links does not.
+Blocks of menus, notices and the like become blank lines where they stand between containers; between
+siblings they leave nothing. An ``article`` or ``main`` element that outweighs the longest run outside
+is the text of the page; without one, runs that are short against the
+longest are left out, unless they lie in the container of a long one.
 """
 
 from __future__ import annotations
@@ -63,7 +65,7 @@ ATTRIBUTE = re.compile(
 
 def _boilerplate(name: str, rest: str, in_article: bool) -> bool:
     """Whether an element is no part of an article, by its name, role or class words."""
-    if name in KEPT:
+    if name in KEPT and name != "article":
         return False
     if name in DROPPED or name == "header" and not in_article:
         return True
@@ -92,11 +94,13 @@ class _Page:
         self.lines: list[tuple[str, int, bool]] = []
         self.pieces: list[str] = []
         self.in_links = 0
-        # Open elements: name, whether dropped, in article, in a link.
-        self.open: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+        # Open elements: name, whether dropped, outermost article (number or 0), in a link, container.
+        self.open: list[tuple[str, bool, int, bool, int]] = [("", False, 0, False, 0)]
+        # The container around each container; containers of the whole page.
+        self.around, self.names, self.page = [0], [""], {0}
 
     def text(self, raw: str) -> None:
-        _, dropped, _, linked = self.open[-1]
+        _, dropped, _, linked, _ = self.open[-1]
         if raw and not dropped:
             plain = html.unescape(raw) if "&" in raw else raw
             self.pieces.append(plain)
@@ -107,12 +111,13 @@ class _Page:
         if self.pieces:
             line = " ".join("".join(self.pieces).split())
             if line:
-                self.lines.append((line, self.in_links, self.open[-1][2]))
+                self.lines.append((line, self.in_links, self.open[-1][2], self.open[-1][4]))
         self.pieces, self.in_links = [], 0
 
     def blank(self) -> None:
-        if not self.lines or self.lines[-1][0]:
-            self.lines += [("", 0, False)] * WINDOW
+        """Blank lines, with the container in which something was dropped."""
+        if not self.lines or self.lines[-1][0] or self.lines[-1][3] != self.open[-1][4]:
+            self.lines += [("", 0, 0, self.open[-1][4])] * WINDOW
 
     def start(self, name: str, rest: str) -> None:
         if name == "br":
@@ -122,13 +127,20 @@ class _Page:
             self._close_paragraph()
         if name in VOID or rest.endswith("/") and name in ("path", "rect", "circle", "use"):
             return
-        _, dropped, article, linked = self.open[-1]
+        _, dropped, article, linked, inside = self.open[-1]
         if not dropped and _boilerplate(name, rest, article):
             dropped = True
             if name not in INLINE:
                 self.blank()
-        article = article or name in ("article", "main") and not dropped
-        self.open.append((name, dropped, article, linked or name == "a"))
+        if name not in INLINE:
+            self.around.append(inside)
+            self.names.append(name)
+            inside = len(self.around) - 1
+            if name in ("html", "body"):
+                self.page.add(inside)
+            if name in ("article", "main") and not dropped:
+                article = article or inside
+        self.open.append((name, dropped, article, linked or name == "a", inside))
 
     def _close_paragraph(self) -> None:
         """A block ends an open paragraph and the inline elements left open in it."""
@@ -153,8 +165,8 @@ class _Page:
                 return
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page with their characters in links; a raw text or dropped block is a blank."""
+def page_lines(page: str) -> _Page:
+    """Lines of a page (text, characters in links, article, container) and its containers."""
     found, at, n = _Page(), 0, len(page)
     while at < n:
         match = TAG.search(page, at)
@@ -175,7 +187,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         else:
             found.start(name, match["rest"] or match["rest2"] or "")
     found.end_line()
-    return found.lines
+    return found
 
 
 def _runs(weights: np.ndarray) -> list[tuple[int, int]]:
@@ -189,22 +201,109 @@ def _runs(weights: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(rising == 1), np.flatnonzero(rising == -1)))
 
 
+def _weight(text: str, links: int) -> int:
+    """Characters outside links; none where links are nearly all of the line."""
+    outside = len("".join(text.split())) - links
+    return outside if 4 * outside > links else 0
+
+
+def _beside(found: _Page, inside: int, container: int) -> bool:
+    """Whether a line is a block of a container, or lies in a section of it."""
+    while inside > container and found.around[inside] != container:
+        inside = found.around[inside]
+        if found.names[inside] != "section":
+            return inside == container
+    return inside >= container
+
+
+def _within(found: _Page, inside: int, container: int) -> bool:
+    while inside > container:  # a container is numbered after those around it
+        inside = found.around[inside]
+    return inside == container
+
+
+def _joined(found: _Page) -> list[tuple[str, int, int, int]]:
+    """Lines without the blank ones that have the same container on both sides."""
+    lines, out = found.lines, []
+    at = 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and not lines[end][0]:
+            end += 1
+        if end > at:
+            beside = [lines[k][3] for k in (at - 1, end) if 0 <= k < len(lines)]
+            spot = min(line[3] for line in lines[at:end])
+            apart = not all(_beside(found, x, spot) for x in beside)
+            if apart:
+                out += [("", 0, 0, spot)] * WINDOW
+        else:
+            out.append(lines[at])
+        at = max(end, at + 1)
+    return out
+
+
+def _apart(lines: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """Lines with blank ones wherever an article begins or ends."""
+    out = []
+    for k, line in enumerate(lines):
+        if k and line[2] != lines[k - 1][2]:
+            out += [("", 0, 0, 0)] * WINDOW
+        out.append(line)
+    return out
+
+
 def main_text(page: str | None) -> str:
     """Text of the article, one block per line; empty for NULL or where there is no text."""
     if not page:
         return ""
-    lines = page_lines(page)
-    if any(article for _, _, article in lines):
-        weights = np.array([len(text) if article else 0 for text, _, article in lines])
-        kept = _runs(weights)
-    else:
-        weights = np.array([max(0, len("".join(t.split())) - links) for t, links, _ in lines])
-        runs = _runs(weights)
-        sizes = [weights[a:b].sum() for a, b in runs]
-        kept = [run for run, size in zip(runs, sizes) if size >= SHORT * max(sizes)]
-    return "\n".join(
-        lines[i][0] for a, b in kept for i in range(a, b) if weights[i] > 0
-    )
+    found = page_lines(page)
+    lines = _apart(_joined(found))
+    weights = np.array([_weight(t, n) for t, n, *_ in lines], dtype=np.int64)
+    articles = np.array([article for _, _, article, _ in lines], dtype=np.int64)
+    largest = np.bincount(articles, weights)[1:].max(initial=0)
+    outside = np.where(articles == 0, weights, 0)
+    if largest and largest >= max((outside[a:b].sum() for a, b in _runs(outside)), default=0):
+        return "\n".join(text for text, _, article, _ in lines if article and text)
+
+    runs = []
+    for a, b in _runs(weights):
+        heavy = a + np.flatnonzero(weights[a:b])
+        # Lines of links beside text in one container belong to it.
+        first, last = heavy[0], heavy[-1]
+        spot = {k: found.around[lines[k][3]] for k in (first, last)}
+        a, b = first, last + 1
+        while a and lines[a - 1][0] and first - a < WINDOW and (
+            found.around[lines[a - 1][3]] == spot[first] not in found.page
+        ):
+            a -= 1
+        while b < len(lines) and lines[b][0] and b - last <= WINDOW and not weights[b] and (
+            found.around[lines[b][3]] == spot[last] not in found.page
+        ):
+            b += 1
+        runs.append((a if first - a < WINDOW else first, b if b - last <= WINDOW else last + 1))
+    sizes = [weights[a:b].sum() for a, b in runs]
+    homes, kept = set(), []
+    for (a, b), size in zip(runs, sizes):
+        if long := size >= SHORT * max(sizes):
+            top = a + int(weights[a:b].argmax())
+            homes.add((found.around[lines[top][3]], lines[top][2]))
+        kept.append(long)
+    homes = {(home, article) for home, article in homes if home not in found.page}
+    for k, (a, b) in enumerate(runs):
+        kept[k] = kept[k] or any(
+            lines[i][2] == article and _within(found, lines[i][3], home)
+            for home, article in homes for i in range(a, b) if lines[i][0]
+        )
+    texts = []
+    for (a, b), keep in zip(runs, kept):
+        heavy = a + np.flatnonzero(weights[a:b])
+        for i in range(a, b) if keep else ():
+            # Within a run, links between blocks of text stay if they are blocks of the same element.
+            at = int(np.searchsorted(heavy, i))
+            near = {found.around[lines[k][3]] for k in heavy[max(0, at - 1) : at + 1]}
+            if lines[i][0] and (weights[i] or found.around[lines[i][3]] in near):
+                texts.append(lines[i][0])
+    return "\n".join(texts)
 
 
 def extract(html_page: Column) -> Column:

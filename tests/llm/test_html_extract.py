@@ -98,3 +98,25 @@ def test_surge_and_dive_points():
     weights = np.array([0, 0, 0, 0, 5, 0, 7, 0, 0, 0, 0, 3])
     assert X._runs(weights) == [(2, 7), (9, 12)]
     assert X._runs(np.array([])) == []
+
+
+def test_short_paragraph_after_an_advert_without_article_element():
+    text = LONG.strip()
+    for advert in ('<div class="ad">Buy</div>', "<aside>Aside</aside>", "<form>Mail</form>"):
+        body = f"<p>{LONG}</p><p>{LONG}</p>{advert}<h2>End</h2><p>Short last words.</p>"
+        for page in (f"<body>{body}</body>", f"<body><div><div id='c'>{body}</div></div></body>"):
+            assert X.main_text(page) == f"{text}\n{text}\nEnd\nShort last words."
+    page = f"<div id='c'><section><p>{LONG}</p></section><aside>x</aside><section><p>End.</p></section></div>"
+    assert X.main_text(page) == f"{text}\nEnd."
+    page = f"<body><div><p>{LONG}</p><p><a href='/'>All link</a></p><p>End.</p></div><footer>f</footer><p>Imprint</p>"
+    assert X.main_text(page) == f"{text}\nAll link\nEnd."
+
+
+def test_teaser_and_comment_articles_beside_a_body_without_one():
+    text = LONG.strip()
+    card = '<article class="card"><h3>Teaser</h3><p>A few words.</p></article>'
+    remark = f'<article class="comment"><p>{LONG}</p></article>'
+    body = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>"
+    for others in (card, card * 4, remark, card + remark):
+        assert X.main_text(f"<body><div>{body}</div>{others}</body>") == f"Title\n{text}\n{text}"
+        assert X.main_text(f"<body>{others}<div>{body}</div></body>") == f"Title\n{text}\n{text}"
