@@ -5,7 +5,7 @@ lines the text lengths are summed; where the sum surges from nothing a run of te
 dives to nothing the run ends, so a list of links cuts runs and a single line of links does not.
 Blocks of menus, notices and the like become blank lines where they stand between containers; between
 siblings they leave nothing. An ``article`` or ``main`` element that outweighs the longest run outside
-is the text of the page; without one, runs that are short against the
+is the text of the page, less its lists of links; without one, runs that are short against the
 longest are left out, unless they lie in the container of a long one.
 """
 
@@ -252,6 +252,18 @@ def _apart(lines: list[tuple[str, int, int, int]]) -> list[tuple[str, int, int,
     return out
 
 
+def _without_link_lists(lines: list[tuple[str, int, int, int]]) -> list[str]:
+    """Texts of lines, less those in windows of links alone."""
+    weights = np.array([_weight(t, n) for t, n, *_ in lines])
+    if not (weights > 0).any():
+        return []
+    bare = np.diff(np.concatenate(([0], (weights == 0).astype(int), [0])))
+    for a, b in zip(np.flatnonzero(bare == 1), np.flatnonzero(bare == -1)):
+        if b - a >= WINDOW:
+            lines[a:b] = [("", 0, 0, 0)] * (b - a)
+    return [t for t, *_ in lines if t]
+
+
 def main_text(page: str | None) -> str:
     """Text of the article, one block per line; empty for NULL or where there is no text."""
     if not page:
@@ -263,7 +275,7 @@ def main_text(page: str | None) -> str:
     largest = np.bincount(articles, weights)[1:].max(initial=0)
     outside = np.where(articles == 0, weights, 0)
     if largest and largest >= max((outside[a:b].sum() for a, b in _runs(outside)), default=0):
-        return "\n".join(text for text, _, article, _ in lines if article and text)
+        return "\n".join(_without_link_lists([line for line in lines if line[2]]))
 
     runs = []
     for a, b in _runs(weights):

@@ -120,3 +120,11 @@ def test_teaser_and_comment_articles_beside_a_body_without_one():
     for others in (card, card * 4, remark, card + remark):
         assert X.main_text(f"<body><div>{body}</div>{others}</body>") == f"Title\n{text}\n{text}"
         assert X.main_text(f"<body>{others}<div>{body}</div></body>") == f"Title\n{text}\n{text}"
+
+
+def test_unclassed_link_list_inside_main():
+    links = "".join(f'<li><a href="/{i}">Entry number {i}</a></li>' for i in range(9))
+    page = f"<main><h1>Title</h1><p>{LONG}</p><ul>{links}</ul><p><a href='/'>One</a></p><p>End.</p></main>"
+    assert X.main_text(page.replace("<p><a href='/'>One</a></p>", "")) == f"Title\n{LONG.strip()}\nEnd."
+    page = f"<main><p>{LONG}</p><p><a href='/'>One</a></p><p>End.</p></main>"
+    assert X.main_text(page) == f"{LONG.strip()}\nOne\nEnd."
