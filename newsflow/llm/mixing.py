@@ -27,6 +27,8 @@ from newsflow.operators.scratch import written
 # metadata, rounds of fitting.
 SAMPLE, SAMPLE_PARTS, WORDS, METADATA, ROUNDS = 10_000, 8, 1024, 256, 40
 STEPS, CLOSE = 40, 1e-4
+# Labelled documents that are learnt from (expected number) of every domain that has as many.
+FLOOR = 100
 
 
 def n_tokens(text: Column) -> Column:
@@ -87,21 +89,42 @@ def _worded(docs: DataFrame, at: Columns) -> DataFrame:
     )
 
 
+def _shares(counts: list[int], sample: int) -> list[float]:
+    """Shares of the domains' rows to learn from: about ``sample`` rows in all, as many of one domain
+    as of another where it has them, and never less than ``FLOOR`` or all it has."""
+    left, quota = sample, 0.0
+    for k, n in enumerate(sorted(counts)):
+        quota = left / (len(counts) - k)
+        if n > quota:
+            break
+        left -= n
+    else:
+        return [1.0] * len(counts)
+    return [min(1.0, max(quota, FLOOR) / n) for n in counts]
+
+
 def learn_domains(docs: DataFrame, at: Columns = Columns(), sample: int = SAMPLE) -> Classifier:
     """Learn domains from the rows that name one, the labelled table.
 
-    About ``sample`` of them, by the hash of the id, are learnt from. Features are shares of hashed
-    words of the whole text and hashed metadata, so a row without a domain is placed by its text.
-    With a single domain everything belongs to it.
+    About ``sample`` of them, by the hash of the id, are learnt from, drawn per domain so that rare
+    ones are not missed, and weighed by how many rows each stands for. With D domains there are at
+    most ``max(sample, FLOOR * D)``; the model and the fit hold D times the features and D * D
+    numbers on the driver, which is meant for up to about a thousand domains. Features are shares
+    of hashed words of the whole text and hashed metadata, so a row without a domain is placed by
+    its text. With a single domain everything belongs to it.
     """
     labelled = docs.where(F.col(at.domain).isNotNull())
     named = labelled.groupBy(F.col(at.domain).cast("string").alias("domain")).count().collect()
     domains = sorted(r["domain"] for r in named)
     if len(domains) < 2:
         return Classifier(domains, None)
-    share = min(1.0, sample / sum(r["count"] for r in named))
-    place = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
+    counts = {r["domain"]: r["count"] for r in named}
+    shares = F.array(*[F.lit(x) for x in _shares([counts[d] for d in domains], sample)])
+    names = F.array(*[F.lit(d) for d in domains])
+    place = F.array_position(names, F.col("domain")) - 1
+    share = F.get(shares, (F.array_position(names, F.col(at.domain).cast("string")) - 1).cast("int"))
     chosen = _worded(labelled.where(_draw(at.doc_id) < share), at).drop("whole", "doc_id")
+    chosen = chosen.withColumn("weight", 1 / F.get(shares, place.cast("int")))
     # A bounded table in few parts: the rounds of fitting must not run over all parts of the corpus.
     chosen = written(chosen.repartition(SAMPLE_PARTS), "labelled")
     stages = [
@@ -109,7 +132,9 @@ def learn_domains(docs: DataFrame, at: Columns = Columns(), sample: int = SAMPLE
         Normalizer(p=2.0, inputCol="word_counts", outputCol="word_shares"),
         HashingTF(numFeatures=METADATA, inputCol="facts", outputCol="fact_counts"),
         VectorAssembler(inputCols=["word_shares", "fact_counts"], outputCol="features"),
-        LogisticRegression(family="multinomial", regParam=1e-3, maxIter=ROUNDS),
+        LogisticRegression(
+            family="multinomial", regParam=1e-3, maxIter=ROUNDS, weightCol="weight"
+        ),
     ]
     model = Pipeline(stages=stages).fit(chosen.withColumn("label", place.cast("double")))
     return Classifier(domains, model)

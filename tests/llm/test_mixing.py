@@ -98,3 +98,27 @@ def test_odd_rows(frame, spark):
     assert [(r.rate, r.copies) for r in rated.collect()] == [(1.0, 1)]
     empty = spark.createDataFrame([], SCHEMA)
     assert M.fit_rates(empty)[0].collect() == [] and M.mix(empty).collect() == []
+
+
+def test_a_rare_source_reaches_its_target_from_a_small_sample(frame):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(8000):
+        source = "rare" if i % 400 == 0 else "b" if i % 3 == 0 else "a"
+        first = {"a": 0, "b": 100, "rare": 200}[source]
+        words = rng.integers(first, first + 200, rng.integers(5, 40))
+        rows.append((i, " ".join(f"w{k}" for k in words), source, "x"))
+    df = frame([(*r, "r", 1) for r in rows], SCHEMA)
+    rated, mixture = M.fit_rates(df, sample=300)
+    assert mixture.classifier.domains == ["a", "b", "rare"]
+    assert mixture.reached == pytest.approx(mixture.targets, rel=1e-2)
+    drawn = dict.fromkeys(mixture.classifier.domains, 0.0)
+    for r in rated.collect():
+        drawn[rows[r.doc_id][2]] += r.rate * r.tokens
+    assert np.array(list(drawn.values())) == pytest.approx(mixture.targets, rel=0.1)
+
+
+def test_shares_of_the_sample():
+    assert M._shares([5000, 5000], 10_000) == [1.0, 1.0]
+    assert M._shares([10**7, 1000, 10], 10_000) == [8990 / 10**7, 1.0, 1.0]
+    assert M._shares([10**6] * 200, 10_000) == [M.FLOOR / 10**6] * 200
