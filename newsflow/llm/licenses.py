@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sentences of public licences, normalised as `normal` does, with their identifiers.
+# A sentence with a mark inside is cut there, so the part that tells the licence is listed as well.
 SENTENCES = {
     "licensed under the apache license version 2 0": "apache-notice",
     "this work is licensed under the apache license version 2 0": "apache-notice",
@@ -30,6 +31,12 @@ SENTENCES = {
     "including without limitation the rights to use copy modify merge publish distribute sublicense "
     "and or sell copies of the software and to permit persons to whom the software is furnished to "
     "do so subject to the following conditions": "mit-grant",
+    "mit license permission is hereby granted free of charge to any person obtaining a copy of this "
+    "software and "
+    "associated documentation files the software to deal in the software without restriction "
+    "including without limitation the rights to use copy modify merge publish distribute sublicense "
+    "and or sell copies of the software and to permit persons to whom the software is furnished to "
+    "do so subject to the following conditions": "mit-grant",
     "the above copyright notice and this permission notice shall be included in all copies or "
     "substantial portions of the software": "mit-notice-kept",
     "licensed under the gnu general public license version 3": "gpl3-notice",
@@ -42,9 +49,21 @@ SENTENCES = {
     "license or at your option any later version": "gpl3-free",
     "this program is distributed in the hope that it will be useful but without any warranty without "
     "even the implied warranty of merchantability or fitness for a particular purpose": "gpl-hope",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as "
+    "published by the free software foundation either version 3 of the license or at your option any "
+    "later version": "gpl3-free",
+    "this program is distributed in the hope that it will be useful but without any warranty":
+        "gpl-hope",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as "
+    "published by the free software foundation either version 2 of the license or at your option any "
+    "later version": "gpl2-free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license "
+    "version 2 as published by the free software foundation": "gpl2-free",
     "licensed under the gnu general public license version 2": "gpl2-notice",
     "this work is licensed under the gnu general public license version 2": "gpl2-notice",
     "spdx license identifier gpl 2 0": "gpl2-spdx",
+    "spdx license identifier gpl 2 0 only": "gpl2-spdx",
+    "spdx license identifier gpl 2 0 or later": "gpl2-spdx",
     "licensed under cc by nc 4 0": "ccbync4-notice",
     "this work is licensed under cc by nc 4 0": "ccbync4-notice",
     "licensed under cc by 4 0": "ccby4-notice",
@@ -72,6 +91,12 @@ SENTENCES = {
     "licensed under the mozilla public license version 2 0": "mpl2-notice",
     "this source code form is subject to the terms of the mozilla public license v 2 0":
         "mpl2-notice",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-form",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org "
+    "mpl 2 0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org "
+    "mpl 2 0": "mpl2-copy",
+    "spdx license identifier mpl 2 0": "mpl2-spdx",
     "all rights reserved": "reserved",
 }
 # Rules in order of identifiers; any rule of a licence is enough.
@@ -83,15 +108,15 @@ RULES = {
     "CC-BY-4.0": [["ccby4-notice"]],
     "CC-BY-NC-4.0": [["ccbync4-notice"]],
     "CC-BY-SA-4.0": [["ccbysa4-notice"]],
-    "GPL-2.0": [["gpl2-notice"], ["gpl2-spdx"]],
+    "GPL-2.0": [["gpl2-notice"], ["gpl2-spdx"], ["gpl2-free", "gpl-hope"]],
     "GPL-3.0": [["gpl3-notice"], ["gpl3-spdx"], ["gpl3-free", "gpl-hope"]],
     "MIT": [["mit-notice"], ["mit-spdx"], ["mit-title", "mit-grant"],
             ["mit-grant", "mit-notice-kept"]],
-    "MPL-2.0": [["mpl2-notice"]],
+    "MPL-2.0": [["mpl2-notice"], ["mpl2-spdx"], ["mpl-form", "mpl2-copy"]],
     "Proprietary": [["reserved"]],
 }
 # Every known sentence holds one of these words, so a text without them holds no known sentence.
-HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved")
+HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved", "mozilla")
 SENTENCE_END = r"[.!?;:]+(?=\s|$)|[\r\n]+\s*[\r\n]+"
 LINE_END = r"[.!?]+(?=\s|$)|[\r\n]+"
 
@@ -101,10 +126,16 @@ def normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
+def _hints(sentences: dict[str, str] | None) -> str:
+    """Pattern that every known sentence matches: the hints, and a word of sentences without one."""
+    more = {max(s.split(), key=len) for s in sentences or () if not any(h in s for h in HINTS)}
+    return "|".join([*HINTS, *sorted(more)])
+
+
 def _known(pieces: Column, sentences: dict[str, str]) -> Column:
     """(place, identifier) of the known sentences among pieces of a text."""
     table = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    hinted = F.filter(pieces, lambda p: F.lower(p).rlike("|".join(HINTS)))
+    hinted = F.filter(pieces, lambda p: F.lower(p).rlike(_hints(sentences)))
     return F.filter(
         F.transform(hinted, lambda p: F.element_at(table, normal(p))), lambda x: x.isNotNull()
     )
@@ -148,7 +179,7 @@ def scan(
     once however often it occurs; several are in order of name. Repeated rows give repeated rows, an
     empty table an empty table; other columns are not looked at.
     """
-    hinted = F.lower(F.col(text_col)).rlike("|".join(HINTS))
+    hinted = F.lower(F.col(text_col)).rlike(_hints(sentences))
     none = F.array().cast("array<string>")
     ids = F.when(hinted, sentence_ids(F.col(text_col), sentences)).otherwise(none)
     rows = docs.select(F.col(id_col).alias("doc_id"), ids.alias("sentence_ids"))

@@ -82,3 +82,43 @@ def test_no_python_runs(spark):
     plan = L.scan(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert L.scan(df).collect() == []
+
+
+GPL = (
+    "This program is free software{} you can redistribute it and/or modify\nit under the terms of the "
+    "GNU General Public License as published by\nthe Free Software Foundation{} either version {} of "
+    "the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope "
+    "that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more "
+    "details."
+)
+HEADERS = {
+    "MIT": MIT,
+    "GPL-3.0": GPL.format(":", ",", 3),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a "
+    "copy of the MPL was not distributed with this\nfile, You can obtain one at "
+    "https://mozilla.org/MPL/2.0/.",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this '
+    "file except in compliance with the License.\nYou may obtain a copy of the License at\n\n"
+    "    http://www.apache.org/licenses/LICENSE-2.0",
+    "GPL-2.0": GPL.format(";", ",", 2),
+}
+
+
+def test_official_headers_wrapped_in_comments_and_on_one_line(frame):
+    rows, names = [], []
+    for name, header in HEADERS.items():
+        lines = header.split("\n")
+        for text in (header, " ".join(header.split()), "\n".join(f"# {x}" for x in lines),
+                     "/*\n" + "\n".join(f" * {x}" for x in lines) + "\n */\nint x;"):
+            rows.append((len(rows), f"Some words.\n\n{text}"))
+            names.append(name)
+    found = result(frame(rows, "doc_id long, text string"))
+    assert [(n, found[i][1]) for i, n in enumerate(names)] == [(n, [n]) for n in names]
+    assert found == {i: brute(t) for i, t in rows}
+
+
+def test_sentences_of_another_table_need_no_hint(frame):
+    df = frame([(1, "Do as you please."), (2, "Nothing here.")], "doc_id long, text string")
+    rows = L.scan(df, sentences={"do as you please": "free"}, rules={"Free": [["free"]]}).collect()
+    assert {r.doc_id: r.licenses for r in rows} == {1: ["Free"], 2: []}
