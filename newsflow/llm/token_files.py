@@ -52,7 +52,8 @@ class Encoder:
 
     Where the tokenizer's rules separate words, a text is cut at places between which they never
     join: into runs of letters and digits, other runs (whole words around an apostrophe), both with
-    the space before, and remaining white space. Those not met lately are encoded in one call, the
+    the space before, and remaining white space. A text that holds the string of an added token is
+    encoded whole, as the library gives it the token's id. Those not met lately are encoded in one call, the
     rest is looked up. Under other rules whole texts are encoded.
     """
 
@@ -61,10 +62,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         words, pieces = rules.get("pre_tokenizer") or {}, self.tokenizer.get_vocab()
+        # Added tokens are found in whole texts, before any cutting.
+        self.added = [x["content"] for x in rules.get("added_tokens") or () if x["content"]]
         self.between = pieces.get(BETWEEN_SIGN)
         self.separable = (
             not rules.get("normalizer")
@@ -83,6 +85,9 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<i4").tobytes() for x in found]
 
+    def _holds_added(self, text: str) -> bool:
+        return any(x in text for x in self.added)
+
     def _between(self, words: list[str], encoded) -> dict[str, bytes]:
         """Ids of words that were encoded as one text, cut at the ids between them."""
         ids = np.array(encoded.ids, dtype="<i4")
@@ -97,7 +102,8 @@ class Encoder:
         change them."""
         letters = [w for w in words if w.lstrip(" ").isalpha()]
         others = list(set(words).difference(letters))
-        odd = [w for w in others if not w or BETWEEN in w or w[0] == "'" or w[-1].isspace() and w != "\n"]
+        odd = [w for w in others if not w or BETWEEN in w or w[0] == "'" or w[-1].isspace() and w != "\n"
+               or self._holds_added(w)]
         plain = list(set(others).difference(odd))
         out = dict(zip(odd, self.whole(odd)))
         if letters:
@@ -114,7 +120,7 @@ class Encoder:
         if not self.separable:
             return joined([[t] for t in texts], lambda some: [x + end for x in self.whole(some)])
         # The end id stands for an empty word, of which a text has none.
-        words = [[*WORD.findall(t), ""] for t in texts]
+        words = [[t, ""] if self._holds_added(t) else [*WORD.findall(t), ""] for t in texts]
         return joined(words, lambda w: [x or end for x in self.memory.ids(w, self._words)])
 
 

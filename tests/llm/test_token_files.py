@@ -115,3 +115,15 @@ def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     T.write_token_files(df, path := str(tmp_path / "ids"), PATH, files=2)
     assert T.token_digests(spark, path).collect() == []
+
+
+def test_added_tokens_in_a_text_as_the_library_encodes_them():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>'s  y\n", "<|endoftext|", "a b",
+             "<|endoftext|> " * 3 + "long " * 50]
+    plain, encoder = Tokenizer.from_file(PATH), T.Encoder(PATH)
+    expected = [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert expected[0] == [64, 220, 50256, 275, 0]
+    for _ in range(2):
+        ids, sizes = encoder.encode(texts)
+        assert ids.tolist() == [i for x in expected for i in x]
+        assert sizes.tolist() == [len(x) for x in expected]
