@@ -19,7 +19,6 @@ ROWS = [
 
 
 TOKENIZER = Tokenizer.from_file(PATH)
-TOKENIZER.encode_special_tokens = True
 
 
 def ids_of(text):
