@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsflow.llm import dedup, mixing, pieces, quality, shingles
+from newsflow.llm import dedup, mixing, pieces, quality, simhash
 from newsflow.operators.scratch import written
 
 # Shares of the sources in proportion to their tokens to this power. No source loses tokens and no
@@ -29,8 +29,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with a shingle similarity of 0.8 or more."""
-    return shingles.drop_near_copies(docs)
+    """One document of each component of fingerprints over four-word shingles, linked at four or
+    fewer differing bits."""
+    return simhash.drop_near_copies(docs, words=4, bits=4)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
