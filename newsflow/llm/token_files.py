@@ -9,16 +9,16 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.word_ids import WordMemory, as_lists, joined, slices
+from newsflow.llm.word_ids import CHARS, WordMemory, as_lists, joined, joined_coded
 
 END_ID = 0
 # Bytes of a stripe, rows of an index entry.
@@ -29,7 +29,19 @@ FILE_COLUMNS = "doc_id long, part int, place long, n_tokens long, ids array<int>
 # Rules under which words are encoded on their own: no normalising, and words that take the one
 # space before them along.
 SEPARABLE = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-WORD = re.compile(r" ?[^\W_]++(?!')| ?\S+|\s+(?!\S)|\s+")
+# The rules start a word at every space before a character that is no white space, wherever white
+# space begins, at a mark (but the apostrophe) after a letter or digit, and after a lone line feed.
+# Bytes that are surely no white space: all signs of ASCII, and those that begin a character of no
+# block with white space in it.
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
+SIGN = np.zeros(256, dtype=bool)
+SIGN[0x21:0x7F] = True
+PLAIN = np.array([chr(b).isalnum() and b < 0x7F for b in range(256)])
+MARK = SIGN & ~PLAIN
+MARK[ord("'")] = False
+SOLID = SIGN.copy()
+SOLID[[*range(0xC3, 0xE1), *range(0xE4, 0xF5)]] = True
 # A character that stands between words encoded together, and its sign in the vocabulary.
 BETWEEN, BETWEEN_SIGN = "\0", "Ā"
 # Words that a worker keeps before it forgets those not met again.
@@ -50,11 +62,10 @@ SIGNS = _signs()
 class Encoder:
     """Ids of texts, as little-endian 32-bit integers.
 
-    Where the tokenizer's rules separate words, a text is cut at places between which they never
-    join: into runs of letters and digits, other runs (whole words around an apostrophe), both with
-    the space before, and remaining white space. A text that holds the string of an added token is
-    encoded whole, as the library gives it the token's id. Those not met lately are encoded in one call, the
-    rest is looked up. Under other rules whole texts are encoded.
+    Where the tokenizer's rules separate words, a text is cut at white space, on the bytes of the
+    Arrow buffer: there the words on both sides never join. A text that holds the string of an added
+    token is encoded whole, as the library gives it the token's id. Words not met lately are encoded
+    in one call, the rest is looked up. Under other rules whole texts are encoded.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,7 +77,8 @@ class Encoder:
             rules = json.load(file)
         words, pieces = rules.get("pre_tokenizer") or {}, self.tokenizer.get_vocab()
         # Added tokens are found in whole texts, before any cutting.
-        self.added = [x["content"] for x in rules.get("added_tokens") or () if x["content"]]
+        added = [x["content"] for x in rules.get("added_tokens") or () if x["content"]]
+        self.added = [x.encode() for x in added]
         self.between = pieces.get(BETWEEN_SIGN)
         self.separable = (
             not rules.get("normalizer")
@@ -85,7 +97,7 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<i4").tobytes() for x in found]
 
-    def _holds_added(self, text: str) -> bool:
+    def _holds_added(self, text: bytes) -> bool:
         return any(x in text for x in self.added)
 
     def _between(self, words: list[str], encoded) -> dict[str, bytes]:
@@ -103,7 +115,7 @@ class Encoder:
         letters = [w for w in words if w.lstrip(" ").isalpha()]
         others = list(set(words).difference(letters))
         odd = [w for w in others if not w or BETWEEN in w or w[0] == "'" or w[-1].isspace() and w != "\n"
-               or self._holds_added(w)]
+               or self._holds_added(w.encode())]
         plain = list(set(others).difference(odd))
         out = dict(zip(odd, self.whole(odd)))
         if letters:
@@ -114,14 +126,57 @@ class Encoder:
             out |= self._between(plain, joint[0])
         return out
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, an empty one after each text's, and their number per text."""
+        ends = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
+        data = texts.buffers()[2] or pa.py_buffer(b"")
+        first, last = int(ends[0]), int(ends[-1])
+        byte = np.frombuffer(data, np.uint8, last)[first:]
+        starts, ends = ends[:-1] - first, ends[1:] - first
+        cuts = np.zeros(len(byte), dtype=bool)
+        if len(byte):
+            white = WHITE[byte]
+            cuts[:-1] = (byte[:-1] == 0x20) & SOLID[byte[1:]]
+            cuts[1:] |= white[1:] & SIGN[byte[:-1]] | MARK[byte[1:]] & PLAIN[byte[:-1]]
+            lone = (byte[1:-1] == 0x0A) & SIGN[byte[:-2]]
+            cuts[2:] |= lone & PLAIN[byte[2:]]
+            cuts[starts[starts < len(byte)]] = False
+            if self._holds_added(joined_text := byte.tobytes()):
+                for a, b in zip(starts.tolist(), ends.tolist()):
+                    if self._holds_added(joined_text[a:b]):
+                        cuts[a:b] = False
+        at = np.flatnonzero(cuts)
+        filled = ends > starts
+        edges = np.sort(np.concatenate((starts[filled], at, ends, ends[-1:])), kind="stable")
+        words = pa.Array.from_buffers(
+            pa.string(), len(edges) - 1, [None, pa.py_buffer((edges + first).astype(np.int32)), data]
+        )
+        inside = np.searchsorted(at, ends) - np.searchsorted(at, starts)
+        return words, inside + filled + 1
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and their number per text."""
         end = np.array([END_ID], dtype="<i4").tobytes()
         if not self.separable:
-            return joined([[t] for t in texts], lambda some: [x + end for x in self.whole(some)])
+            return joined(
+                [[t] for t in texts.to_pylist()], lambda some: [x + end for x in self.whole(some)]
+            )
         # The end id stands for an empty word, of which a text has none.
-        words = [[t, ""] if self._holds_added(t) else [*WORD.findall(t), ""] for t in texts]
-        return joined(words, lambda w: [x or end for x in self.memory.ids(w, self._words)])
+        words, counts = self._cut(texts)
+        return joined_coded(words, counts, lambda w: [x or end for x in self.memory.ids(w, self._words)])
+
+
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Places of runs of texts of about ``CHARS`` bytes; a longer text is a run of its own."""
+    sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset))
+    at, size = 0, 0
+    for k, more in enumerate(sizes.tolist()):
+        if k > at and size + more > CHARS:
+            yield at, k
+            at, size = k, 0
+        size += more
+    if at < len(texts):
+        yield at, len(texts)
 
 
 @functools.cache
@@ -133,12 +188,11 @@ def _encoded(path: str):
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for frame in frames:
-            at = 0
-            for some in slices([t or "" for t in frame.column("text").to_pylist()]):
-                ids = as_lists([encoder.encode(some)])
-                keys = frame.column("doc_id").slice(at, len(some))
+            texts = pc.fill_null(frame.column("text"), "")
+            for at, end in _runs(texts):
+                ids = as_lists([encoder.encode(texts.slice(at, end - at))])
+                keys = frame.column("doc_id").slice(at, end - at)
                 yield pa.RecordBatch.from_arrays([keys, ids], ["doc_id", "ids"])
-                at += len(some)
 
     return batches
 

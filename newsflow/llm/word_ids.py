@@ -52,15 +52,22 @@ class WordMemory:
 
 def joined(
     words: list[list[str]], ids_of: Callable[[list[str]], list[bytes]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`joined_coded`, from words as Python strings."""
+    counts = np.array([len(w) for w in words], dtype=np.int64)
+    return joined_coded(pa.array(list(itertools.chain.from_iterable(words)), pa.string()), counts, ids_of)
+
+
+def joined_coded(
+    flat: pa.Array, counts: np.ndarray, ids_of: Callable[[list[str]], list[bytes]]
 ) -> tuple[np.ndarray, np.ndarray]:
     """All ids of texts cut into words, one text after the other, and their number per text.
 
-    ``ids_of`` gets the distinct words and returns the ids of each as little-endian integers.
+    ``flat`` has the words of all texts and ``counts`` how many each text has. ``ids_of`` gets the
+    distinct words and returns the ids of each as little-endian integers.
     """
-    counts = np.array([len(w) for w in words], dtype=np.int64)
-    flat = pa.array(list(itertools.chain.from_iterable(words)), pa.string())
     coded = flat.dictionary_encode()
-    found = ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    found = ids_of(coded.dictionary.to_pylist())
     sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
     ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
     values = np.frombuffer(b"".join(found), dtype="<i4")
