@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.llm import (
+    collocations,
     dedup,
     html_extract,
     language,
@@ -17,8 +18,10 @@ from newsflow.llm import (
     pieces,
     quality,
     simhash,
+    substrings,
     token_files,
     topk,
+    whitening,
 )
 from newsflow.operators.scratch import scratch_path
 
@@ -98,6 +101,23 @@ def op10_exact_dedup(spark, sf_dir):
     return dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    """The first 2,000 phrases of every language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark, sf_dir):
+    """The 16 leading whitened components of every vector."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_substring_dedup(spark, sf_dir):
+    """Words of every document, and those that windows of smaller documents cover."""
+    left = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("text").cast("binary"), 256)
+    return left.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
@@ -109,6 +129,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 
@@ -152,7 +175,90 @@ def _license_sql() -> str:
     """
 
 
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
 ORACLES: dict[str, str] = {
+    "op11_collocations": rf"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), {_ASCII}), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, row_number() OVER () AS id, list_filter(
+                regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words
+            FROM p
+        ), t AS (
+            SELECT lang, id, unnest(words) AS w1, generate_subscripts(words, 1) AS k FROM w
+        ), s AS (
+            SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3
+            FROM t WINDOW o AS (PARTITION BY id ORDER BY k)
+        ), one AS (
+            SELECT lang, w1, count(*) AS f FROM s GROUP BY ALL
+        ), two AS (
+            SELECT lang, w1, w2, count(*) AS f FROM s WHERE w2 IS NOT NULL
+            GROUP BY ALL HAVING count(*) >= 10
+        ), three AS (
+            SELECT lang, w1, w2, w3, count(*) AS f FROM s WHERE w3 IS NOT NULL
+            GROUP BY ALL HAVING count(*) >= 10
+        ), inside AS (
+            SELECT two.lang, two.w1, two.w2 FROM two JOIN three ON two.lang = three.lang
+             AND two.w1 = three.w1 AND two.w2 = three.w2 AND 100 * three.f >= 50 * two.f
+            UNION
+            SELECT two.lang, two.w1, two.w2 FROM two JOIN three ON two.lang = three.lang
+             AND two.w1 = three.w2 AND two.w2 = three.w3 AND 100 * three.f >= 50 * two.f
+        ), cut AS (
+            SELECT two.lang, two.w1 || ' ' || two.w2 AS phrase, 1 AS k, two.f AS a, x.f AS l, y.f AS r
+            FROM two JOIN one x ON x.lang = two.lang AND x.w1 = two.w1
+            JOIN one y ON y.lang = two.lang AND y.w1 = two.w2
+            ANTI JOIN inside i ON i.lang = two.lang AND i.w1 = two.w1 AND i.w2 = two.w2
+            UNION ALL
+            SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 1, t.f, x.f, y.f
+            FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1
+            JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+            UNION ALL
+            SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 2, t.f, x.f, y.f
+            FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2
+            JOIN one y ON y.lang = t.lang AND y.w1 = t.w3
+        ), scored AS (
+            SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cut
+        ), best AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), sizes AS (
+            SELECT lang, count(*) AS n FROM t GROUP BY lang
+        )
+        SELECT lang, row_number() OVER (
+                   PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM best JOIN sizes USING (lang) QUALIFY rank <= 2000
+    """,
+    "op13_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), w AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS k FROM d
+        ), s AS (
+            SELECT *, string_agg(word, ' ') OVER o AS win, count(*) OVER o = 13 AS whole
+            FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY k
+                                ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+        ), f AS (
+            SELECT doc_id, k, word, whole AND doc_id > min(doc_id) OVER (PARTITION BY win, whole) AS late
+            FROM s
+        ), c AS (
+            SELECT doc_id, k, word, bool_or(late) OVER (PARTITION BY doc_id ORDER BY k
+                                    ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+            FROM f
+        ), g AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   coalesce(string_agg(word, ' ' ORDER BY k) FILTER (NOT gone), '') AS kept
+            FROM c GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN g USING (doc_id)
+    """,
     "op5_license_scan": _license_sql(),
     "op3_topk_search": """
         WITH v AS (

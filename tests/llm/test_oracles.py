@@ -7,7 +7,7 @@ from tests.llm.conftest import SF_DIR
 
 
 def test_queries_are_registered_one_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert set(ORACLES) <= set(driver.oracle_sql())
 
@@ -22,5 +22,6 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_returns_a_row_per_row(spark, name):
     rows = driver.queries()[name](spark, SF_DIR).count()
-    table = "pages" if name.startswith("op1_") else "documents"
-    assert rows == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
+    table = {"op1": "pages", "op12": "embeddings"}.get(name.split("_")[0], "documents")
+    per_row = 16 if name.startswith("op12_") else 1
+    assert rows == per_row * spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
