@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsflow.functions import phrases as P
 from newsflow.functions.bind import apply_sql, sql_let, sql_lookup, sql_raw
 from newsflow.functions.text import SPACE, is_blank, or_empty
 
@@ -67,6 +68,9 @@ class Rules:
     question_beyond: float = 0.96
     before_but: float = 0.5
     after_but: float = 1.5
+    # With phrases: a word that negates the lexicon word after it, and the words it reaches over.
+    denial: str = "no"
+    denial_over: tuple[str, ...] = ("or", "nor")
 
 
 _PUNCTUATION = "".join("\\" + mark for mark in string.punctuation)
@@ -85,14 +89,35 @@ def split_tokens(text: Column) -> Column:
     return F.regexp_extract_all(or_empty(text), F.lit(_TOKEN), F.lit(1))
 
 
-def _rule_values(rules: Rules) -> str:
+def _denied(rules: Rules) -> str:
+    """SQL for the valence of a lexicon word with the word that denies the next one looked at."""
+
+    def is_denial(at: str) -> str:
+        return f"coalesce(get(low, {at}) = '{rules.denial}', false)"
+
+    over = ", ".join(f"'{word}'" for word in rules.denial_over)
+    before = f"""{is_denial('i - 1')} or {is_denial('i - 2')}
+        or ({is_denial('i - 3')} and coalesce(get(low, i - 1) in ({over}), false))"""
+    own = f"{is_denial('i')} and get(marks, i + 1).valence is not null"
+    valence = "get(marks, i).valence"
+    return f"case when {before} then {valence} * {rules.negation}D when {own} then 0D else {valence} end"
+
+
+def _phrased(automaton: P.Automaton) -> str:
+    """SQL for ``v`` after the phrases around its word."""
+    pushed = f"v + if(v < 0, -1, 1) * {P.sql_degree(automaton)}"
+    flipped = f"v * {P.sql_flip(automaton)}"
+    return sql_let("v", f"coalesce({P.sql_idiom(automaton)}, v)", sql_let("v", pushed, flipped))
+
+
+def _rule_values(rules: Rules, automaton: P.Automaton | None = None) -> str:
     """SQL for the adjusted valences of the lexicon words among ``row.tokens``."""
 
     def shouted(at: str) -> str:
         word = f"get(row.tokens, {at})"
         return f"(emphatic and {word} <> get(low, {at}) and {word} = upper({word}))"
 
-    adjusted = "v"
+    adjusted = _phrased(automaton) if automaton else "v"
     # The nearest word is applied first, so it becomes the innermost step.
     for distance, weight in reversed(list(enumerate(rules.distance_weights, start=1))):
         mark, at = f"get(marks, i - {distance})", f"i - {distance}"
@@ -100,21 +125,26 @@ def _rule_values(rules: Rules) -> str:
             + if({shouted(at)}, if(v > 0, 1, -1) * {rules.capitals}D, 0D)))"""
         flips = f"""coalesce({mark}.negates, false)
             or coalesce(contains(get(low, {at}), 'n\\'t'), false)"""
-        step = f"""if({mark}.valence is not null, v,
-            (v + {push}) * if({flips}, {rules.negation}D, 1D))"""
+        factor = f"if({flips}, {rules.negation}D, 1D)"
+        if automaton:
+            factor = f"coalesce({P.sql_scale(automaton, distance)}, {factor})"
+        step = f"if({mark}.valence is not null, v, (v + {push}) * {factor})"
         adjusted = sql_let("v", step, adjusted)
-    start = f"""get(marks, i).valence + if({shouted('i')},
-        if(get(marks, i).valence > 0, 1, -1) * {rules.capitals}D, 0D)"""
+    own = _denied(rules) if automaton else "get(marks, i).valence"
+    start = sql_let("v", own, f"v + if({shouted('i')}, if(v > 0, 1, -1) * {rules.capitals}D, 0D)")
     around_but = f"""case when but = 0 or i = but - 1 then 1D
         when i < but - 1 then {rules.before_but}D else {rules.after_but}D end"""
     value = f"{sql_let('v', start, adjusted)} * {around_but}"
+    if automaton:
+        value = f"if({P.sql_mute(automaton)}, 0D, {value})"
     scored = f"""transform(filter(transform(row.tokens, (word, i) -> i),
         i -> get(marks, i).valence is not null and get(marks, i).delta is null), i -> {value})"""
     capitals = "size(filter(row.tokens, (word, i) -> word <> get(low, i) and word = upper(word)))"
     with_but = sql_let("but", "array_position(low, 'but')", scored)
-    return sql_let(
+    values = sql_let(
         "emphatic", f"{capitals} between 1 and size(row.tokens) - 1", with_but
     )
+    return sql_let("states", P.sql_states(automaton, "row.steps"), values) if automaton else values
 
 
 def _emphasis(rules: Rules) -> str:
@@ -158,9 +188,9 @@ def _summary(rules: Rules) -> str:
     return f"named_struct('compound', {overall}, 'shares', {sums})"
 
 
-def _scorer_sql(rules: Rules, marks: str) -> str:
+def _scorer_sql(rules: Rules, marks: str, automaton: P.Automaton | None = None) -> str:
     if rules.context:
-        values, emphasis = _rule_values(rules), _emphasis(rules)
+        values, emphasis = _rule_values(rules, automaton), _emphasis(rules)
     else:
         values = "transform(filter(marks, m -> m.valence is not null), m -> m.valence)"
         emphasis = "0D"
@@ -179,23 +209,43 @@ def mark_counts(text: Column) -> dict[str, Column]:
     return {"exclamations": count("!"), "questions": count("?")}
 
 
-def _score(rules: Rules, found: str, **fields: Column) -> Column:
+@dataclass(frozen=True)
+class Phrases:
+    """The automaton of a phrase table and a column with its steps (an array per state)."""
+
+    automaton: P.Automaton
+    steps: Column
+
+
+def _score(rules: Rules, found: str, phrases: Phrases | None, **fields: Column) -> Column:
+    if phrases and rules.context:
+        fields["steps"] = phrases.steps
     row = F.struct(*(column.alias(name) for name, column in fields.items()))
-    return apply_sql(row, _scorer_sql(rules, found))
+    return apply_sql(row, _scorer_sql(rules, found, phrases.automaton if phrases else None))
 
 
-def score_by_index(text: Column, index: Column, rules: Rules) -> Column:
+def score_by_index(
+    text: Column, index: Column, rules: Rules, phrases: Phrases | None = None
+) -> Column:
     """``struct<compound, shares<pos, neg, neu>>`` of a text, in doubles.
 
     ``index`` is an ``array<map<token, mark>>`` spread over ``BUCKETS``, searched per token.
     """
     found = f"transform(low, word -> {sql_lookup('row.index', 'word', BUCKETS)})"
-    return _score(rules, found, tokens=split_tokens(text), index=index, **mark_counts(text))
+    return _score(
+        rules, found, phrases, tokens=split_tokens(text), index=index, **mark_counts(text)
+    )
 
 
-def score_marked(tokens: Column, marks: Column, counts: dict[str, Column], rules: Rules) -> Column:
+def score_marked(
+    tokens: Column,
+    marks: Column,
+    counts: dict[str, Column],
+    rules: Rules,
+    phrases: Phrases | None = None,
+) -> Column:
     """The same from tokens that already have their mark (or NULL) beside them."""
-    return _score(rules, "row.marks", tokens=tokens, marks=marks, **counts)
+    return _score(rules, "row.marks", phrases, tokens=tokens, marks=marks, **counts)
 
 
 def classify(compound: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow import schemas
+from newsflow.functions import phrases as P
 from newsflow.functions import sentiment as S
 from newsflow.operators.scratch import written
 from newsflow.operators.sizing import is_small
@@ -24,6 +25,10 @@ def default_negations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(w,) for w in S.NEGATIONS], schemas.NEGATIONS)
 
 
+def default_phrases(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(P.DEFAULT_PHRASES, schemas.PHRASES)
+
+
 def sample_lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(S.SAMPLE_LEXICON.items()), schemas.LEXICON)
 
@@ -66,11 +71,12 @@ def token_marks(
 
 @dataclass(frozen=True)
 class Marks:
-    """Marks ready to score with: one row ``(token, mark)`` per token, and whether they are few
-    enough to be searched inside each row."""
+    """Marks ready to score with: one row ``(token, mark)`` per token, whether they are few enough
+    to be searched inside each row, and the automaton of the phrases, if there are any."""
 
     table: DataFrame
     small: bool
+    automaton: P.Automaton | None = None
 
 
 def one_mark_per_token(marks: DataFrame) -> DataFrame:
@@ -80,18 +86,49 @@ def one_mark_per_token(marks: DataFrame) -> DataFrame:
     rows of one token the largest value of each column counts.
     """
     rows = marks.where(F.col("token").isNotNull()).groupBy(F.lower("token").alias("token"))
-    columns = ("valence", "delta", "negates")
+    columns = [c for c in ("valence", "delta", "negates", "part") if c in marks.columns]
     merged = rows.agg(*[F.max(c).alias(c) for c in columns])
     return merged.select("token", F.struct(*columns).alias("mark"))
 
 
-def prepare_marks(marks: DataFrame) -> Marks:
+def phrase_automaton(phrases: DataFrame | None) -> P.Automaton | None:
+    """The automaton of a phrase table, which has ``MAX_PHRASES`` rows at most (checked)."""
+    if phrases is None:
+        return None
+    rows = phrases.select("phrase", "kind", "value").limit(P.MAX_PHRASES + 1).collect()
+    if len(rows) > P.MAX_PHRASES:
+        raise ValueError(f"a phrase table may have {P.MAX_PHRASES} rows at most")
+    return P.build(map(tuple, rows))
+
+
+def with_phrase_words(marks: DataFrame, automaton: P.Automaton | None) -> DataFrame:
+    """``marks`` and the words of the phrases with their number in the column ``part``, so that one
+    look-up per word gives both."""
+    if automaton is None:
+        return marks
+    listed = marks.sparkSession.createDataFrame(
+        list(automaton.classes.items()), "token string, part int"
+    )
+    return marks.unionByName(listed, allowMissingColumns=True)
+
+
+def prepare_marks(marks: DataFrame, phrases: DataFrame | None = None) -> Marks:
     """Derive marks once: they are stored in the shared folder and their size is checked there.
 
     This runs the job that makes ``marks``. Scoring with the result reads the stored rows.
     """
-    table = written(one_mark_per_token(marks), "marks")
-    return Marks(table, is_small(table))
+    automaton = phrase_automaton(phrases)
+    table = written(one_mark_per_token(with_phrase_words(marks, automaton)), "marks")
+    return Marks(table, is_small(table), automaton)
+
+
+def phrase_steps(spark: SparkSession, automaton: P.Automaton | None) -> Column | None:
+    """The steps of an automaton as one value, an array per state."""
+    if automaton is None:
+        return None
+    rows = spark.createDataFrame(list(enumerate(automaton.steps)), "state int, row array<int>")
+    ordered = rows.agg(F.sort_array(F.collect_list(F.struct("state", "row"))).alias("all"))
+    return ordered.select(F.transform("all", lambda state: state["row"])).scalar()
 
 
 def mark_index(marks: DataFrame) -> Column:
@@ -112,15 +149,23 @@ def mark_index(marks: DataFrame) -> Column:
     ).scalar()
 
 
-def _score_by_index(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -> DataFrame:
-    # Used once, the subquery is folded into the score's projection: its value is computed one
-    # time per query and the rows never carry it.
-    indexed = df.withColumn("_index", mark_index(marks))
-    score = S.score_by_index(F.col(text), F.col("_index"), rules)
-    return indexed.withColumn("_score", score).drop("_index")
+def _phrases(df: DataFrame, marks: Marks) -> tuple[DataFrame, S.Phrases | None]:
+    """``df`` with the steps of the automaton in a column, and what the scorer needs of them."""
+    if marks.automaton is None:
+        return df, None
+    stepped = df.withColumn("_steps", phrase_steps(df.sparkSession, marks.automaton))
+    return stepped, S.Phrases(marks.automaton, F.col("_steps"))
+
+
+def _score_by_index(df: DataFrame, text: str, marks: Marks, rules: S.Rules) -> DataFrame:
+    # Used once, the subqueries are folded into the score's projection: their values are computed
+    # one time per query and the rows never carry them.
+    indexed, phrases = _phrases(df.withColumn("_index", mark_index(marks.table)), marks)
+    score = S.score_by_index(F.col(text), F.col("_index"), rules, phrases)
+    return indexed.withColumn("_score", score).drop("_index", "_steps")
 
 
-def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -> DataFrame:
+def _score_by_join(df: DataFrame, text: str, marks: Marks, rules: S.Rules) -> DataFrame:
     """Look tokens up with a shuffle join: for lexicons too large to send to every task.
 
     Every distinct text is scored once, under its digest, so copies collapse before the shuffle.
@@ -135,7 +180,7 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
     tokens = counted.select(
         "_text_key", *counts, F.posexplode(S.split_tokens(F.col("_text"))).alias("pos", "word")
     ).withColumns({"token": F.lower("word"), "_salt": F.pmod("pos", F.lit(SALTS))})
-    salted = marks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = marks.table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # Sent whole, the lexicon would be sent once per salt.
     salted = salted.hint("merge")
     # The collected list is one text's tokens: no larger than the text it came from.
@@ -144,11 +189,13 @@ def _score_by_join(df: DataFrame, text: str, marks: DataFrame, rules: S.Rules) -
         .groupBy("_text_key", *counts)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "word", "mark"))).alias("found"))
     )
+    found, phrases = _phrases(found, marks)
     score = S.score_marked(
         F.transform("found", lambda f: f["word"]),
         F.transform("found", lambda f: f["mark"]),
         {name: F.col(name) for name in counts},
         rules,
+        phrases,
     )
     scores = found.select("_text_key", score.alias("_score"))
     return keyed.join(scores, "_text_key", "left").drop("_text_key")
@@ -160,26 +207,30 @@ def score_with_marks(
     rules: S.Rules = S.Rules(),
     text: str = "full_text",
     lookup: str = "auto",
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """Add the label and the four scores of ``text``; ``marks`` as from :func:`token_marks`.
 
     Marks within the checked bound are searched inside each row, with no shuffle of the articles;
     beyond it (or with ``lookup='join'``) a shuffle join does the same look-up, with the same result.
     Marks that are not yet prepared (see :func:`prepare_marks`) are prepared here, unless they are
-    joined. ``lookup='index'`` refuses marks beyond the bound.
+    joined. ``lookup='index'`` refuses marks beyond the bound. ``phrases`` (phrase, kind, value; see
+    ``functions/phrases.py``) takes part in the context rules; prepared marks have theirs with them.
     """
     if lookup not in ("auto", "index", "join"):
         raise ValueError(f"lookup must be auto, index or join, not {lookup!r}")
     if isinstance(marks, Marks):
         ready = marks
     elif lookup == "join":
-        ready = Marks(one_mark_per_token(marks), small=False)
+        automaton = phrase_automaton(phrases)
+        table = one_mark_per_token(with_phrase_words(marks, automaton))
+        ready = Marks(table, small=False, automaton=automaton)
     else:
-        ready = prepare_marks(marks)
+        ready = prepare_marks(marks, phrases)
     if lookup == "index" and not ready.small:
         raise ValueError("the marks are too many to be searched inside each row")
     score_by = _score_by_index if ready.small and lookup != "join" else _score_by_join
-    scored = score_by(df, text, ready.table, rules)
+    scored = score_by(df, text, ready, rules)
     return scored.withColumns(S.sentiment_columns(F.col(text), F.col("_score"))).drop("_score")
 
 
@@ -191,6 +242,8 @@ def score_sentiment(
     rules: S.Rules = S.Rules(),
     text: str = "full_text",
     lookup: str = "auto",
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
-    """Score against separate lexicon, degree-word and negation tables."""
-    return score_with_marks(df, token_marks(lexicon, boosters, negations), rules, text, lookup)
+    """Score against separate lexicon, degree-word, negation and phrase tables."""
+    marks = token_marks(lexicon, boosters, negations)
+    return score_with_marks(df, marks, rules, text, lookup, phrases)

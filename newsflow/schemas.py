@@ -42,3 +42,10 @@ BOOSTERS = T.StructType(
     [T.StructField("token", T.StringType()), T.StructField("delta", T.DoubleType())]
 )
 NEGATIONS = T.StructType([T.StructField("token", T.StringType())])
+PHRASES = T.StructType(
+    [
+        T.StructField("phrase", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
