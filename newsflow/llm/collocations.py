@@ -189,8 +189,8 @@ def _grower(least: int):
         read = zstandard.ZstdDecompressor().decompress
         pieces: dict[tuple[str, int], list] = {}
         for row in rows:
-            data, counts, at, begin = read(row["suffixes"]), np.array(row["counts"], np.int64), 0, 0
-            for k, (n, size) in enumerate(zip(row["lines"], row["bytes"])):
+            data, counts, at, begin = read(row["suffixes"]), row["counts"].astype(np.int64), 0, 0
+            for k, (n, size) in enumerate(zip(row["lines"].tolist(), row["bytes"].tolist())):
                 if n:
                     mine = pieces.setdefault((row["lang"], k), [])
                     mine.append((data[begin : begin + size], counts[at : at + n]))
@@ -205,14 +205,8 @@ def _grower(least: int):
                 yield pa.RecordBatch.from_arrays([langs, *words, pa.array(totals)], names)
 
     def grow(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, part = [], None
-        for frame in frames:
-            for row in frame.to_pylist():
-                if row["part"] != part:
-                    yield from grown(held)
-                    held, part = [], row["part"]
-                held.append(row)
-        yield from grown(held)
+        for rows in B.by_part(frames):
+            yield from grown(rows)
 
     return grow
 

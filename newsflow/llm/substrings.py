@@ -196,14 +196,13 @@ def _sorter(window: int):
         pieces: list[list] = [[] for _ in range(PIECES)]
         read = zstandard.ZstdDecompressor().decompress
         for row in rows:
-            docs = np.array(row["texts"], np.int64)
-            ranks, ties = (np.array(row[c], np.int64)[docs] for c in ("ranks", "ties"))
-            starts, sizes = (np.array(row[c], np.int64) for c in ("starts", "sizes"))
+            docs, starts, sizes = row["texts"], row["starts"], row["sizes"]
+            ranks, ties = row["ranks"][docs], row["ties"][docs]
             if row["words"] is None:
                 yield batch(ranks, ties, starts, sizes)
                 continue
             data, at, begin = read(row["words"]), 0, 0
-            for piece, count, size in zip(pieces, row["counts"], row["bytes"]):
+            for piece, count, size in zip(pieces, row["counts"].tolist(), row["bytes"].tolist()):
                 if count:
                     some = slice(at, at + count)
                     piece.append((data[begin : begin + size], ranks[some], ties[some], starts[some], sizes[some]))
@@ -219,14 +218,8 @@ def _sorter(window: int):
         return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["rank", "tie", "start", "n"])
 
     def spans(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, part = [], None
-        for frame in frames:
-            for row in frame.to_pylist():
-                if row["part"] != part:
-                    yield from spans_of(held)
-                    held, part = [], row["part"]
-                held.append(row)
-        yield from spans_of(held)
+        for rows in B.by_part(frames):
+            yield from spans_of(rows)
 
     return spans
 
@@ -242,7 +235,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 2
 ) -> DataFrame:
     """Spans of words (rank, tie, start, n) covered by windows that also start in a smaller document.
 
@@ -289,7 +282,7 @@ def _remover(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 2
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed and text, the words kept.
 

@@ -110,9 +110,22 @@ def blocks(frames: Iterable[pa.RecordBatch], size: int | None = None) -> Iterato
         yield held
 
 
-def lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """``values`` cut into lists at ``cuts`` (the first is 0, the last their number)."""
-    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values).cast(kind))
+def by_part(frames: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Runs of rows with one ``part``; their lists are arrays, their other values Python's."""
+    held, part = [], None
+    for frame in frames:
+        columns = dict(zip(frame.schema.names, frame.columns))
+        for k, mine in enumerate(columns["part"].to_pylist()):
+            if mine != part and held:
+                yield held
+                held = []
+            part = mine
+            held.append({
+                name: c[k].values.to_numpy() if pa.types.is_list(c.type) else c[k].as_py()
+                for name, c in columns.items()
+            })
+    if held:
+        yield held
 
 
 def run_starts(*keys: np.ndarray) -> np.ndarray:
