@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.operators.scratch import written
+
 # The columns of the latest-articles listing.
 LISTING = "title_clean source category sentiment sentiment_compound processed_at".split()
 SENTIMENTS = ("positive", "negative", "neutral")
@@ -132,12 +134,12 @@ def latest_articles(df: DataFrame, limit: int = DEFAULT_LATEST) -> DataFrame:
 def run_reports(df: DataFrame, top: int = DEFAULT_TOP_KEYWORDS) -> dict[str, DataFrame]:
     """All reports as DataFrames, or an empty dict when there is no article.
 
-    The grouped reports share one persisted tally per (category, sentiment, source, hour), which is
-    small beside the table; call ``unpersist`` on the entry ``tally`` when done.
+    The grouped reports share one tally per (category, sentiment, source, hour), which is small
+    beside the table. It is written to the shared folder, so nothing is left to be released.
     """
     if df.isEmpty():
         return {}
-    base = tally(df, ("category", "sentiment", "source", "hour")).persist()
+    base = written(tally(df, ("category", "sentiment", "source", "hour")), "tally")
     results = {name: report.roll_up(base) for name, report in TALLIED.items()}
     results["top_keywords"] = top_keywords(df, top)
     results["tally"] = base

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsflow.functions import keywords as K
+from newsflow.functions import phrases as P
+from newsflow.functions import sentiment as S
+from newsflow.functions import text as X
 from newsflow.operators.sizing import spread_if_narrow
 from newsflow.sources.feeds import CATEGORIES
 
@@ -117,6 +120,46 @@ def marks_from_documents(spark: SparkSession, sf_dir: str, context: bool = True)
     return marked.dropna(how="all", subset=["valence", "delta", "negates"])
 
 
+# How many phrases of one, two and three words stand in.
+PHRASES_OF = {1: 6, 2: 40, 3: 30}
+
+
+def phrases_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in phrases: the commonest runs of one to three words, with a kind and value by rank."""
+    words = F.transform(S.split_tokens(X.clean(F.col("text"))), F.lower)
+    listed = texts(spark, sf_dir, "documents", "text").select(words.alias("words"))
+    runs = [
+        F.expr(f"""if(size(words) < {n}, array(), transform(sequence(1, size(words) - {n - 1}),
+            k -> named_struct('n', {n}, 'phrase', array_join(slice(words, k, {n}), ' '))))""")
+        for n in PHRASES_OF
+    ]
+    counts = listed.select(F.inline(F.concat(*runs))).groupBy("n", "phrase").count()
+    rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("count"), "phrase"))
+    wanted = F.get(F.array(F.lit(0), *map(F.lit, PHRASES_OF.values())), F.col("n"))
+    ranked = counts.withColumn("rank", rank).where(F.col("rank") <= 40).where(F.col("rank") <= wanted)
+    one = F.get(F.array(F.lit("flip"), F.lit("mute")), F.col("rank") % 2)
+    more = F.get(F.array(*map(F.lit, P.KINDS)), F.col("rank") % len(P.KINDS))
+    return ranked.select(
+        "phrase",
+        F.when(F.col("n") == 1, one).otherwise(more).alias("kind"),
+        ((F.col("rank") * 7 % 11 - 5) / 2.0).cast("double").alias("value"),
+    )
+
+
+def lexicon_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus's words as lines of a lexicon file, some of them wrong: ``line``."""
+    token = F.col("token")
+    ratings = F.transform(
+        F.sequence(F.lit(1), F.lit(10)), lambda k: (F.ascii(token) * k + F.length(token)) % 9 - 4
+    )
+    mean = F.format_number(F.aggregate(ratings, F.lit(0), lambda a, x: a + x) / 10.0, 1)
+    kind = (F.ascii(F.substring(token, 2, 1)) + F.length(token)) % 8
+    line = F.concat_ws("\t", token, F.when(kind == 3, "9.9").otherwise(mean), F.lit("0.5"),
+                       F.concat(F.lit("["), F.array_join(ratings, ", "), F.lit("]")))
+    cut = F.when(kind == 1, F.concat_ws("\t", token)).when(kind == 2, F.concat_ws("\t", token, F.lit("high")))
+    return _corpus_words(spark, sf_dir).select(F.coalesce(cut, line).alias("line"))
+
+
 def arrivals_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as feed entries arriving over time; many share a link, some have none."""
     key = (F.col("event_id") * 7919) % 1500

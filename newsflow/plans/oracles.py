@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from newsflow.functions.keywords import STOP_WORDS
+from newsflow.functions.phrases import KINDS
+from newsflow.plans.adapters import PHRASES_OF
 from newsflow.plans.queries import CATEGORY, SENTIMENT
 from newsflow.sources.feeds import CATEGORIES
 
@@ -129,7 +131,64 @@ def tokens(source: str) -> str:
         FROM (SELECT doc_id, {ws} AS ws FROM ({source}))"""
 
 
-def scores(source: str, context: bool) -> str:
+def _phrase_table(source: str) -> str:
+    """Stand-in phrases of one to three tokens of a source: phrase, n, kind, value."""
+    two, three = "low || ' ' || lead(low, 1) OVER w", "lead(low, 1) OVER w || ' ' || lead(low, 2) OVER w"
+    runs = f"""SELECT low AS g1, {two} AS g2, low || ' ' || {three} AS g3
+        FROM (SELECT doc_id, i, lower(tok) AS low FROM ({tokens(source)}))
+        WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+    ranked = " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT g{n} AS phrase, {n} AS n,
+            row_number() OVER (ORDER BY count(*) DESC, g{n}) AS rank
+            FROM ({runs}) WHERE g{n} IS NOT NULL GROUP BY g{n}) WHERE rank <= {top}"""
+        for n, top in PHRASES_OF.items()
+    )
+    kinds = ", ".join(f"'{kind}'" for kind in KINDS)
+    return f"""SELECT phrase, n, CASE WHEN n = 1 THEN ['flip', 'mute'][rank % 2 + 1]
+        ELSE [{kinds}][rank % {len(KINDS)} + 1] END AS kind,
+        CAST((rank * 7 % 11 - 5) / 2.0 AS DOUBLE) AS value FROM ({ranked})"""
+
+
+def _begins(marked: str, source: str) -> str:
+    """Tokens with the value of each kind of phrase of one to three tokens that begins there."""
+    runs = f"""SELECT *, low AS g1, low || ' ' || lead(low, 1) OVER w AS g2,
+        low || ' ' || lead(low, 1) OVER w || ' ' || lead(low, 2) OVER w AS g3
+        FROM ({marked}) WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+    values = ", ".join(
+        f"CASE WHEN p{n}.kind = '{kind}' THEN p{n}.value END AS {kind}{n}"
+        for kind in KINDS for n in PHRASES_OF
+    )
+    joins = " ".join(f"LEFT JOIN phrases p{n} ON t.g{n} = p{n}.phrase AND p{n}.n = {n}" for n in PHRASES_OF)
+    return f"""SELECT t.*, {values} FROM ({runs}) t {joins}"""
+
+
+def _phrase_rules() -> dict[str, str]:
+    """SQL for what phrases do to the token at hand, from the phrases that begin around it."""
+
+    def begun(kind: str, n: int, before: int) -> str:
+        return f"{kind}{n}" if not before else f"lag({kind}{n}, {before}) OVER w"
+
+    idioms = [begun("idiom", n, n - 1 - on) for on in (2, 1, 0) for n in (3, 2) if n > on]
+    idioms += [begun("idiom", n, n - 1 + back) for back in (1, 2) for n in (3, 2) if n + back <= 4]
+    flips = ", ".join(begun("flip", n, n) for n in (3, 2, 1))
+    denies = "lag(low, {0}) OVER w = 'no'"
+    return {
+        "mute": "coalesce(mute3, mute2, mute1) IS NOT NULL",
+        "idiom": f"coalesce({', '.join(idioms)})",
+        "degree": f"""(coalesce({begun('degree', 3, 3)}, {begun('degree', 2, 2)}, 0::DOUBLE)
+            + coalesce({begun('degree', 2, 3)}, 0::DOUBLE))""",
+        "flip": f"""CASE WHEN lag(valence, 1) OVER w IS NULL THEN coalesce({flips}, 1::DOUBLE)
+            ELSE 1::DOUBLE END""",
+        **{f"scale{d}x": f"coalesce({', '.join(begun('scale', n, d) for n in (3, 2, 1) if n <= d)})"
+           for d in (1, 2, 3)},
+        "base": f"""CASE WHEN coalesce({denies.format(1)}, false) OR coalesce({denies.format(2)}, false)
+            OR coalesce({denies.format(3)} AND lag(low, 1) OVER w IN ('or', 'nor'), false)
+            THEN valence * -0.74::DOUBLE
+            WHEN low = 'no' AND lead(valence, 1) OVER w IS NOT NULL THEN 0::DOUBLE ELSE valence END""",
+    }
+
+
+def scores(source: str, context: bool, phrases: bool = False) -> str:
     """Label and scores per ``doc_id`` of a source with ``doc_id`` and ``full_text``."""
     if not context:
         per_token = f"""SELECT t.doc_id, t.i, l.valence AS v
@@ -149,14 +208,18 @@ def scores(source: str, context: bool) -> str:
             LEFT JOIN ({LEXICON}) l ON lower(t.tok) = l.token
             LEFT JOIN ({BOOSTERS}) b ON lower(t.tok) = b.token
             LEFT JOIN ({NEGATIONS}) n ON lower(t.tok) = n.token"""
+        base = "valence"
+        if phrases:
+            marked, base = _begins(marked, source), "base"
+            lags += "".join(f", {rule} AS {name}" for name, rule in _phrase_rules().items())
         around = f"""SELECT *, {lags},
             count(*) FILTER (WHERE caps) OVER (PARTITION BY doc_id)
                 BETWEEN 1 AND count(*) OVER (PARTITION BY doc_id) - 1 AS emphatic,
             min(CASE WHEN low = 'but' THEN i END) OVER (PARTITION BY doc_id) AS but
             FROM ({marked}) WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
         current = f"""SELECT *, CASE WHEN valence IS NOT NULL AND delta IS NULL THEN
-            valence + CASE WHEN emphatic AND caps
-                THEN CASE WHEN valence > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END
+            {base} + CASE WHEN emphatic AND caps
+                THEN CASE WHEN {base} > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END
                 ELSE 0::DOUBLE END END AS v0 FROM ({around})"""
         for d, weight in ((1, "1.0"), (2, "0.95"), (3, "0.9")):
             v = step.format(d=d - 1)
@@ -165,10 +228,17 @@ def scores(source: str, context: bool) -> str:
                 + CASE WHEN emphatic AND caps{d}
                     THEN CASE WHEN {v} > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END
                     ELSE 0::DOUBLE END) END"""
+            factor = f"CASE WHEN coalesce(neg{d}, false) THEN -0.74::DOUBLE ELSE 1::DOUBLE END"
+            factor = f"coalesce(scale{d}x, {factor})" if phrases else factor
             current = f"""SELECT *, CASE WHEN val{d} IS NOT NULL THEN {v} ELSE ({v} + {push})
-                * CASE WHEN coalesce(neg{d}, false) THEN -0.74::DOUBLE ELSE 1::DOUBLE END
-                END AS v{d} FROM ({current})"""
-        per_token = f"""SELECT doc_id, i, v3 * CASE WHEN but IS NULL OR i = but THEN 1::DOUBLE
+                * {factor} END AS v{d} FROM ({current})"""
+        last = "v3"
+        if phrases:
+            current = f"""SELECT *, CASE WHEN v3 IS NOT NULL THEN coalesce(idiom, v3) END AS v4
+                FROM ({current})"""
+            last = """CASE WHEN mute AND v4 IS NOT NULL THEN 0::DOUBLE
+                ELSE (v4 + CASE WHEN v4 < 0 THEN -1 ELSE 1 END * degree) * flip END"""
+        per_token = f"""SELECT doc_id, i, {last} * CASE WHEN but IS NULL OR i = but THEN 1::DOUBLE
             WHEN i < but THEN 0.5::DOUBLE ELSE 1.5::DOUBLE END AS v FROM ({current})"""
         marks = "(length(full_text) - length(replace(full_text, '{0}', '')))"
         bang, query = marks.format("!"), marks.format("?")
@@ -195,7 +265,8 @@ def scores(source: str, context: bool) -> str:
     def narrowed(value: str, blank: str) -> str:
         return f"round(CAST(CAST(CASE WHEN blank THEN {blank} ELSE {value} END AS FLOAT) AS DOUBLE), 6)"
 
-    return f"""SELECT doc_id,
+    first = f"WITH phrases AS MATERIALIZED ({_phrase_table(source)})" if phrases else ""
+    return f"""{first} SELECT doc_id,
         CASE WHEN c >= 0.05 THEN 'positive' WHEN c <= -0.05 THEN 'negative' ELSE 'neutral' END
             AS sentiment,
         {narrowed('c', '0')} AS sentiment_compound, {narrowed('p', '0')} AS sentiment_pos,
@@ -284,6 +355,39 @@ def _json_pairs() -> str:
     return f"concat('{{', {pairs}, '}}')"
 
 
+_RATED = f"""SELECT token, list_transform(range(1, 11), lambda k:
+        (ascii(token) * k + length(token)) % 9 - 4) AS ratings,
+        (ascii(substr(token, 2, 1)) + length(token)) % 8 AS kind FROM ({CORPUS_WORDS})"""
+LEXICON_LINES = f"""SELECT token, ratings, string_split(line, chr(9)) AS fields, line FROM (
+    SELECT *, CASE kind WHEN 1 THEN token WHEN 2 THEN token || chr(9) || 'high'
+        ELSE token || chr(9) || CASE WHEN kind = 3 THEN '9.9'
+            ELSE printf('%.1f', list_sum(ratings) / 10.0) END || chr(9) || '0.5' || chr(9)
+            || '[' || array_to_string(ratings, ', ') || ']' END AS line FROM ({_RATED}))"""
+
+
+def _report(name: str, key: str, measures: dict[str, str]) -> str:
+    columns = ", ".join(f"CAST({value} AS DOUBLE) AS m{k}" for k, value in enumerate(measures.values()))
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS report, key, '{measure}' AS measure, round(m{k}, 6) AS value
+        FROM (SELECT {key} AS key, {columns} FROM {EVENTS} GROUP BY 1)"""
+        for k, measure in enumerate(measures)
+    )
+
+
+COUNTED, COMPOUND = {"count": "count(*)"}, "avg(CAST(sentiment_compound AS DOUBLE))"
+RUN_REPORTS = " UNION ALL ".join([
+    _report("sentiment_distribution", "coalesce(sentiment, '-')", COUNTED),
+    _report("category_sentiment", "coalesce(category, '-') || '/' || coalesce(sentiment, '-')",
+            COUNTED | {"avg_score": COMPOUND}),
+    _report("source_analysis", "coalesce(source, '-')",
+            {"total_articles": "count(*)", "avg_sentiment": COMPOUND, "avg_length": "avg(text_length)"}),
+    _report("hourly_activity", "coalesce(CAST(hour(processed_at) AS VARCHAR), '-')", COUNTED),
+    _report("sentiment_by_category_pivot", "coalesce(category, '-')",
+            {s: f"count(*) FILTER (WHERE sentiment = '{s}')" for s in ("positive", "negative", "neutral")}),
+    f"""SELECT 'top_keywords', keyword, 'count', CAST(count AS DOUBLE)
+        FROM ({keyword_counts(EVENTS, "trim(lower(k))", "keyword <> ''")})""",
+])
+
 ORACLES: dict[str, str] = {
     "html_unescape": f"SELECT page_id, {unescape('html')} AS text FROM pages",
     "strip_tags": f"SELECT page_id, {tags('html')} AS text FROM pages",
@@ -344,15 +448,18 @@ ORACLES: dict[str, str] = {
         CAST(NULL AS VARCHAR) AS crawled_at FROM ({RAW_DOCUMENTS})""",
     "malformed_messages": """SELECT '{"title' || CAST(doc_id AS VARCHAR) AS value FROM documents
         WHERE doc_id % 7 = 0""",
+    "phrase_sentiment": scores(DOCUMENTS_CLEAN, True, phrases=True),
+    "phrase_sentiment_joined": scores(DOCUMENTS_CLEAN, True, phrases=True),
+    "lexicon_file": f"""SELECT token, CAST(fields[2] AS DOUBLE) AS valence, CAST(fields[3] AS DOUBLE) AS deviation,
+        array_to_string(ratings, ' ') AS ratings FROM ({LEXICON_LINES})
+        WHERE len(fields) = 4 AND abs(list_sum(ratings) / 10.0 - CAST(fields[2] AS DOUBLE)) <= 0.051""",
+    "lexicon_file_rejects": f"""SELECT line, CASE len(fields) WHEN 1 THEN 'fields' WHEN 2 THEN 'mean'
+        ELSE 'unequal' END AS reason FROM ({LEXICON_LINES})
+        WHERE len(fields) < 4 OR abs(list_sum(ratings) / 10.0 - CAST(fields[2] AS DOUBLE)) > 0.051""",
     "blank_articles": """SELECT doc_id, 'neutral' AS sentiment, 0.0::DOUBLE AS sentiment_compound,
         0.0::DOUBLE AS sentiment_pos, 0.0::DOUBLE AS sentiment_neg, 1.0::DOUBLE AS sentiment_neu
         FROM documents""",
-    "run_reports": f"""SELECT 'sentiment_distribution' AS report, sentiment AS key, count
-        FROM ({counts(EVENTS, "sentiment")}) UNION ALL
-        SELECT 'hourly_activity', CAST(hour(processed_at) AS VARCHAR), count(*) FROM {EVENTS}
-        GROUP BY hour(processed_at) UNION ALL
-        SELECT 'top_keywords', keyword, count FROM (
-            {keyword_counts(EVENTS, "trim(lower(k))", "keyword <> ''")})""",
+    "run_reports": RUN_REPORTS,
     "article_id": "SELECT url, md5(url) AS id FROM pages",
     "dedupe_first_wins": f"""SELECT * EXCLUDE (rank) FROM (SELECT *, row_number() OVER (
         PARTITION BY id ORDER BY ingested_at, category_pos, feed_pos, entry_pos) AS rank

@@ -28,6 +28,7 @@ from newsflow.sources.feeds import (
     normalize_articles,
     rss_entries,
 )
+from newsflow.sources.lexicons import parse_lexicon
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Filter choices used where a view is shown over a selection.
@@ -110,7 +111,9 @@ def article_keywords(spark, sf):
 # Sentiment
 
 
-def _scored(spark, sf, lookup: str = "auto", context: bool = False) -> DataFrame:
+def _scored(
+    spark, sf, lookup: str = "auto", context: bool = False, phrases: bool = False
+) -> DataFrame:
     documents = A.texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", X.clean(F.col("text")).alias("full_text")
     )
@@ -119,6 +122,7 @@ def _scored(spark, sf, lookup: str = "auto", context: bool = False) -> DataFrame
         A.marks_from_documents(spark, sf, context),
         rules=S.Rules(context=context),
         lookup=lookup,
+        phrases=A.phrases_from_documents(spark, sf) if phrases else None,
     )
 
 
@@ -149,6 +153,25 @@ def context_sentiment(spark, sf):
     return _scores(spark, sf, context=True)
 
 
+def phrase_sentiment(spark, sf):
+    return _scores(spark, sf, context=True, phrases=True)
+
+
+def phrase_sentiment_joined(spark, sf):
+    return _scores(spark, sf, context=True, phrases=True, lookup="join")
+
+
+def lexicon_file(spark, sf):
+    """Entries of a lexicon file over the corpus's words."""
+    good, _ = parse_lexicon(A.lexicon_lines(spark, sf))
+    return good.select("token", "valence", "deviation", F.array_join("ratings", " ").alias("ratings"))
+
+
+def lexicon_file_rejects(spark, sf):
+    """Lines of the same file that are set aside, and why."""
+    return parse_lexicon(A.lexicon_lines(spark, sf))[1].select("line", "reason")
+
+
 def classify_sentiment(spark, sf):
     compound = (F.col("event_id") * 37 % 2001 - 1000) / F.lit(1000.0)
     return A.table(spark, sf, "events").select(
@@ -280,16 +303,22 @@ def _facet(column: str) -> Query:
 
 
 def all_reports(df: DataFrame) -> DataFrame:
-    """The counts of all reports of one run, one table."""
+    """All reports of one run as one table: report, key, measure, value."""
     results = R.run_reports(df)
-    shown = {"sentiment_distribution": "sentiment", "hourly_activity": "hour",
-             "top_keywords": "keyword"}
-    parts = [
-        results[name].select(
-            F.lit(name).alias("report"), F.col(key).cast("string").alias("key"), "count"
-        )
-        for name, key in shown.items()
-    ]
+    if not results:
+        schema = "report string, key string, measure string, value double"
+        return df.sparkSession.createDataFrame([], schema)
+    shown = [(name, r.keys, [m for m, _ in r.measures]) for name, r in R.TALLIED.items()]
+    shown.append(("top_keywords", ("keyword",), ["count"]))
+    parts = []
+    for name, keys, measures in shown:
+        listed = [
+            F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"))
+            for m in measures
+        ]
+        key = F.concat_ws("/", *(F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys))
+        rows = results[name].select(key.alias("key"), F.inline(F.array(*listed)))
+        parts.append(rows.select(F.lit(name).alias("report"), "key", "measure", "value"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -314,6 +343,10 @@ QUERIES: dict[str, Query] = {
     "lexicon_sentiment": lexicon_sentiment,
     "lexicon_sentiment_joined": lexicon_sentiment_joined,
     "context_sentiment": context_sentiment,
+    "phrase_sentiment": phrase_sentiment,
+    "phrase_sentiment_joined": phrase_sentiment_joined,
+    "lexicon_file": lexicon_file,
+    "lexicon_file_rejects": lexicon_file_rejects,
     "blank_articles": blank_articles,
     "classify_sentiment": classify_sentiment,
     "process_article": process_article,
@@ -336,7 +369,7 @@ QUERIES: dict[str, Query] = {
     "source_analysis": _over_events(R.SOURCE_ANALYSIS.over, "avg_sentiment", "avg_length"),
     "hourly_activity": _over_events(R.HOURLY_ACTIVITY.over),
     "sentiment_by_category_pivot": _over_events(R.SENTIMENT_PIVOT.over),
-    "run_reports": _over_events(all_reports),
+    "run_reports": _over_events(all_reports, "value"),
     "latest_articles": _over_events(R.latest_articles, "sentiment_compound"),
     "filter_articles": _over_events(_chosen, "sentiment_compound"),
     "facet_category": _facet("category"),

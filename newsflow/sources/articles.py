@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.schemas import PROCESSED, RAW, RAW_FIELDS
+from newsflow.sources.stored import StoredTable
 
 
 def kafka_source_options(
@@ -96,8 +97,13 @@ def read_processed(
 ) -> DataFrame:
     """The processed table; a path that does not exist yet reads as empty, other errors raise.
 
-    With ``since`` or ``until`` (dates, both included) only the folders of those dates are read.
+    A table with a log (see ``sources/stored.py``) is read as of its last whole batch; writes that go
+    on or have failed are not seen. Any other folder of Parquet files is read as it is. With
+    ``since`` or ``until`` (dates, both included) only the folders of those dates are read.
     """
+    table = StoredTable(spark, path)
+    if table.is_logged():
+        return table.read(PROCESSED, table.folders(since, until))
     try:
         df = spark.read.schema(PROCESSED).option("recursiveFileLookup", "false").parquet(path)
     except AnalysisException as error:

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newsflow.operators.identity import dedupe_stream
 from newsflow.sources.articles import decode_articles, malformed_messages
 from newsflow.sources.feeds import attach_category, normalize_articles, read_feeds
+from newsflow.sources.stored import StoredTable
 
 SINKS = {"parquet": ("parquet",), "console": ("console",), "both": ("parquet", "console")}
 # How often each kind of sink is fed.
@@ -50,14 +51,14 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return run
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, run: str) -> None:
-    """Store one micro-batch in a folder of its run and number, by date of processing.
+def write_batch(df: DataFrame, batch_id: int, path: str, run: str) -> bool:
+    """Store one micro-batch by date of processing; False if it is stored already.
 
-    A replayed batch replaces itself and nothing else: no other run has its folder.
+    The batch can be read once all of it is there. A replay of a stored batch writes nothing; one of
+    a batch that failed half-way writes it anew. No other run has its folder.
     """
     dated = df.withColumn("date", F.to_date("processed_at"))
-    folder = f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"
-    dated.write.mode("overwrite").partitionBy("date").parquet(folder)
+    return StoredTable(df.sparkSession, path).append(dated, run, batch_id)
 
 
 def show_batch(df: DataFrame, batch_id: int, rows: int = 20) -> None:
@@ -75,6 +76,7 @@ def start_processing(
     malformed: str = "keep",
     console_rows: int = 20,
     quarantine: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Decode, process and store a stream of messages.
 
@@ -82,7 +84,8 @@ def start_processing(
     read and scored once per micro-batch: the result is kept while both are written. A table has one
     checkpoint under the checkpoint root, so changing between ``parquet`` and ``both`` goes on where
     the other stopped. The console shows ``console_rows`` rows of a batch. Messages that are no JSON
-    object are stored under the path ``quarantine``, if given, in the same way.
+    object are stored under the path ``quarantine``, if given, in the same way. With
+    ``compact_every`` the small folders of the table are merged after every so many batches.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}: choose one of {', '.join(SINKS)}")
@@ -104,6 +107,8 @@ def start_processing(
         try:
             if "parquet" in targets:
                 write_batch(articles, batch_id, path, run)
+                if compact_every and batch_id % compact_every == compact_every - 1:
+                    StoredTable(spark, path).compact()
             if "console" in targets:
                 show_batch(articles, batch_id, console_rows)
         finally:
