@@ -27,11 +27,14 @@ BETWEEN, END = B.byte_table(b" \t" + ENDS), B.byte_table(ENDS)
 LINES = B.byte_table(b" \n")
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 DEPTH = 3
-# Suffixes in a group, the pieces in which a group is sorted, and the most prefixes of one length
-# that are extended by a word.
-BUDGET, PIECES, EXTENDED = 1 << 20, 16, 1 << 17
-# Parts in which the first phrases of a language are chosen.
-SALTS = 64
+# Suffixes in a group, and the pieces in which a group is sorted.
+BUDGET, PIECES = 1 << 20, 16
+# The share of all words that a prefix may have is one in so many, or in four times the number of
+# groups where that is more, but no smaller than the second: fewer prefixes of one length than that
+# are extended by a word.
+SHARES, EXTENDED = 512, 1 << 17
+# Parts in which the first phrases of a language are chosen, step by step.
+SALTS = (64, 4, 1)
 UNKNOWN = "und"
 SUFFIXES = "part int, lang string, counts array<int>, lines array<int>, bytes array<int>, suffixes binary"
 PHRASES = "lang string, w1 string, w2 string, w3 string, a long"
@@ -231,8 +234,7 @@ def phrase_counts(
     total = words.agg(F.sum("n")).first()[0] or 0
     setting = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(setting, ceil(total / budget))
-    # A prefix may fill a quarter of a group; fewer than EXTENDED prefixes occur more often than this.
-    bound = max(total // parts // 4, total // EXTENDED)
+    bound = total // min(EXTENDED, max(SHARES, 4 * parts))
     extended = _longer(words, ["lang", "w1"], bound)
     found = rows.mapInArrow(_counter(2, extended), "lang string, w1 string, w2 string, n long")
     counted = found.groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n"))
@@ -313,12 +315,12 @@ def collocations(
                        "cut.score")
     )
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    for keys in (["lang", "salt"], ["lang"]):
-        if "salt" in keys:
-            listed = listed.withColumn("salt", salt)
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        listed = listed.withColumn("rank", rank).where(F.col("rank") <= top)
+    for salts in SALTS:
+        salt = F.pmod(F.xxhash64("phrase"), F.lit(salts))
+        # Of a language's parts, the first rows of each are all that the next step needs.
+        best = Window.partitionBy("lang", "salt").orderBy(*order)
+        ranked = listed.withColumn("salt", salt).withColumn("rank", F.row_number().over(best))
+        listed = ranked.where(F.col("rank") <= top)
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return listed.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
