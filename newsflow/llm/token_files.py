@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.word_ids import CHARS, WordMemory, as_lists, joined, joined_coded
+from newsflow.llm.word_ids import WordMemory, as_lists, joined, joined_coded
 
 END_ID = 0
 # Bytes of a stripe, rows of an index entry.
@@ -44,8 +44,9 @@ SOLID = SIGN.copy()
 SOLID[[*range(0xC3, 0xE1), *range(0xE4, 0xF5)]] = True
 # A character that stands between words encoded together, and its sign in the vocabulary.
 BETWEEN, BETWEEN_SIGN = "\0", "Ā"
-# Words that a worker keeps before it forgets those not met again.
-REMEMBERED = 1 << 18
+# Words that a worker keeps before it forgets those not met again, new words encoded together, and
+# bytes of text that are cut up at a time.
+REMEMBERED, TOGETHER, RUN = 1 << 19, 1000, 6 << 20
 
 
 def _signs() -> dict[int, int]:
@@ -118,9 +119,11 @@ class Encoder:
                or self._holds_added(w.encode())]
         plain = list(set(others).difference(odd))
         out = dict(zip(odd, self.whole(odd)))
-        if letters:
-            signs = BETWEEN.join(letters).encode().decode("latin-1").translate(SIGNS)
-            out |= self._between(letters, self.merger.encode_batch_fast([signs])[0])
+        # In short texts: the library takes longer per word in a long one.
+        for k in range(0, len(letters), TOGETHER):
+            some = letters[k : k + TOGETHER]
+            signs = BETWEEN.join(some).encode().decode("latin-1").translate(SIGNS)
+            out |= self._between(some, self.merger.encode_batch_fast([signs])[0])
         if plain:
             joint = self.tokenizer.encode_batch_fast([BETWEEN.join(plain)], add_special_tokens=False)
             out |= self._between(plain, joint[0])
@@ -167,11 +170,11 @@ class Encoder:
 
 
 def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Places of runs of texts of about ``CHARS`` bytes; a longer text is a run of its own."""
+    """Places of runs of texts of about ``RUN`` bytes; a longer text is a run of its own."""
     sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset))
     at, size = 0, 0
     for k, more in enumerate(sizes.tolist()):
-        if k > at and size + more > CHARS:
+        if k > at and size + more > RUN:
             yield at, k
             at, size = k, 0
         size += more

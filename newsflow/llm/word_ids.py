@@ -67,8 +67,8 @@ def joined_coded(
     distinct words and returns the ids of each as little-endian integers.
     """
     coded = flat.dictionary_encode()
-    found = ids_of(coded.dictionary.to_pylist())
-    sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
+    found = ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
     ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
     values = np.frombuffer(b"".join(found), dtype="<i4")
     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
