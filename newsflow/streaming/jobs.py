@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.operators.identity import dedupe_stream
-from newsflow.sources.articles import decode_articles, malformed_messages
+from newsflow.sources.articles import decode_articles, malformed_messages, read_processed
 from newsflow.sources.feeds import attach_category, normalize_articles, read_feeds
 from newsflow.sources.stored import StoredTable
 
@@ -131,12 +131,15 @@ def feed_articles_stream(
     dialect: str = "any",
     horizon: str | None = None,
     max_files_per_trigger: int | None = None,
+    stored: str | None = None,
 ) -> DataFrame:
     """Landed feed documents as a stream of new articles, each id once (or within ``horizon``).
 
-    Of the copies of an id that land together the first in registry order passes.
+    Of the copies of an id that land together the first in registry order passes. With ``stored``,
+    the path of the processed table, a query with a new checkpoint knows the ids stored there.
     """
     entries = read_feeds(spark, path, dialect, True, max_files_per_trigger)
     placed = attach_category(entries, registry, F.col("feed_key"))
     order = ("ingested_at", "category_pos", "feed_pos", "entry_pos")
-    return dedupe_stream(normalize_articles(placed, *order), horizon).drop(*order)
+    known = read_processed(spark, stored).select("id") if stored else None
+    return dedupe_stream(normalize_articles(placed, *order), horizon, known=known).drop(*order)

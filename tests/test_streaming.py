@@ -1,7 +1,9 @@
 import datetime as dt
 import json
+import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from newsflow.operators import sentiment as N
@@ -172,12 +174,12 @@ ARRIVALS = (
 )
 
 
-def passed(spark, tmp_path, *batches):
+def passed(spark, tmp_path, *batches, **options):
     """Rows that pass when every batch lands before a run of its own."""
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for rows in batches:
         spark.createDataFrame(rows, ARRIVALS).write.mode("append").parquet(source)
-        stream = dedupe_stream(spark.readStream.schema(ARRIVALS).parquet(source))
+        stream = dedupe_stream(spark.readStream.schema(ARRIVALS).parquet(source), **options)
         query = (
             stream.writeStream.format("parquet")
             .option("path", out)
@@ -211,3 +213,54 @@ def test_a_late_article_passes_and_a_known_one_does_not(spark, tmp_path):
         [("a", "again", late, 0, 0, 0), ("c", "l", new, 0, 0, 0)],
     )
     assert [(r[0], r[1]) for r in found] == [("a", "l"), ("b", "l"), ("c", "l")]
+
+
+def test_a_lost_checkpoint_begins_with_the_stored_ids(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1)
+    rows = [(f"id{i}", f"l{i}", at, 0, 0, i) for i in range(20)]
+    stored = spark.createDataFrame([(f"id{i}",) for i in range(15)] * 2 + [(None,)], "id string")
+    found = passed(spark, tmp_path, rows, rows + [("new", "l", at, 0, 0, 0)], known=stored)
+    assert [r[0] for r in found] == ["id15", "id16", "id17", "id18", "id19", "new"]
+
+
+@pytest.mark.parametrize("horizon, expected", [("1 hour", 1), ("1 second", 2)])
+def test_an_id_passes_again_after_the_horizon(spark, tmp_path, horizon, expected):
+    source, out, at = str(tmp_path / "in"), str(tmp_path / "out"), dt.datetime(2024, 1, 1)
+    spark.createDataFrame([], ARRIVALS).write.parquet(source)
+    stream = dedupe_stream(spark.readStream.schema(ARRIVALS).parquet(source), horizon)
+    writer = stream.writeStream.format("parquet").option("path", out)
+    writer = writer.option("checkpointLocation", str(tmp_path / "state"))
+    query = writer.trigger(processingTime="200 milliseconds").start()
+    try:
+        for marker in ("first", "second"):
+            rows = [("a", "l", at, 0, 0, 0), (marker, "l", at, 0, 0, 0)]
+            spark.createDataFrame(rows, ARRIVALS).coalesce(1).write.mode("append").parquet(source)
+            deadline = time.monotonic() + 60
+            while time.monotonic() < deadline:
+                time.sleep(2)
+                try:
+                    found = [r.id for r in spark.read.schema(ARRIVALS).parquet(out).collect()]
+                except AnalysisException:  # nothing is written yet
+                    continue
+                if marker in found:
+                    break
+    finally:
+        query.stop()
+    assert found.count("a") == expected and {"first", "second"} <= set(found)
+
+
+def test_feeds_after_a_lost_checkpoint(spark, process, tmp_path):
+    landing, out = tmp_path / "feeds", str(tmp_path / "out")
+    registry = registry_from_settings(spark, {"RSS_FEEDS_WORLD": ",".join(URLS)})
+
+    def poll(state):
+        articles = jobs.feed_articles_stream(spark, str(landing), registry, stored=out)
+        store = (lambda df, n: jobs.write_batch(process(df), n, out, state))
+        query = articles.writeStream.foreachBatch(store).option("checkpointLocation", str(tmp_path / state))
+        query.trigger(availableNow=True).start().awaitTermination(120)
+        return sorted(r["link"] for r in read_processed(spark, out).select("link").collect())
+
+    land(landing, URLS[0], RSS.format(name="First", link="2"))
+    assert poll("a") == ["", "http://n/1", "http://n/2"]
+    land(landing, URLS[1], RSS.format(name="Second", link="3"))
+    assert poll("b") == ["", "http://n/1", "http://n/2", "http://n/3"]
