@@ -7,12 +7,18 @@ Blocks of menus, notices and the like become blank lines where they stand betwee
 siblings they leave nothing. An ``article`` or ``main`` element that outweighs the longest run outside
 is the text of the page, less its lists of links; without one, runs that are short against the
 longest are left out, unless they lie in the container of a long one.
+
+Class and id words are no verdict. What they name is left out at first; but a subtree that holds the
+head of the page or most of its text, or reads as prose inside an article, is taken back, and the
+lines are drawn anew with it. Where nothing would be left, class words do not count at all.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, SHORT = 3, 0.25
+SOFT = "soft"
 
 # Names of elements, roles and class words.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +52,24 @@ WORDS = set(
     "modal overlay pagination pager toolbar footer masthead topbar copyright search skip".split()
 )
 HEADERS = {"header", "head"}
+# Of these, the words of what is prose but no part of the article, whatever its lines look like.
+COMMENTS = set("comment comments commentlist disqus respond reply replies".split())
+SELLING = set(
+    "ad ads adsbygoogle adbox adslot advert adverts advertisement advertising adsense banner "
+    "billboard cookie cookies consent gdpr sponsor sponsored promo promotion promoted outbrain "
+    "taboola newsletter subscribe subscription signup".split()
+)
+# Beginnings of classes that say what a text is about or how it is filed.
+FILED = re.compile(r"(?:tag|category|cat|topic|section|subject|keyword|author|type|format|post)-")
+# Shares of all text: of a subtree with the head of the page, of any other, of one with comments. A
+# line of prose, the share of such lines that a subtree needs, and their length together.
+HEADED, MOST, NEARLY_ALL = 0.3, 0.5, 0.9
+PROSE_LINE, PROSE_SHARE, PROSE = 80, 0.6, 300
+SENTENCE = re.compile(r"[.!?…。！？।۔]")
+AFTER_TEXT = re.compile(
+    r"(?:\d+\s+)?(?:comments?|responses?|replies|reader comments|leave a (?:comment|reply)|"
+    r"join the (?:conversation|discussion))(?:\s*\(\d+\))?:?", re.I
+)
 NEUTRAL = set("has with without no is not".split())
 KEPT = {"html", "body", "article", "main"}
 
@@ -63,45 +88,75 @@ ATTRIBUTE = re.compile(
 )
 
 
-def _boilerplate(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is no part of an article, by its name, role or class words."""
+def _boilerplate(name: str, rest: str, in_article: bool) -> tuple[bool, set[str]]:
+    """Whether an element is no part of an article by its name or role, and the class words that say
+    so otherwise."""
     if name in KEPT and name != "article":
-        return False
+        return False, set()
     if name in DROPPED or name == "header" and not in_article:
-        return True
+        return True, set()
+    named: set[str] = set()
     for attribute, value in ATTRIBUTE.findall(rest):
         attribute, value = attribute.lower(), value.strip("\"'").lower()
         if attribute == "hidden" or attribute == "aria-hidden" and value == "true":
-            return True
+            return True, set()
         if attribute == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return True, set()
         if attribute == "role" and value in ROLES:
-            return True
+            return True, set()
         if attribute in ("class", "id"):
             for word in value.split():
                 parts = set(re.findall(r"[a-z]+", word))
-                if parts & NEUTRAL:
+                if parts & NEUTRAL or FILED.match(word):
                     continue
-                if parts & WORDS or parts & HEADERS and not in_article:
-                    return True
-    return False
+                named |= parts & WORDS
+                if not in_article:
+                    named |= parts & HEADERS
+    return False, named
+
+
+@dataclass
+class _Suspect:
+    """A subtree that class words name: text, prose and heads in it, after those before it."""
+
+    words: set[str]
+    in_article: bool
+    text: int
+    prose: int
+    heads: int
+
+    def taken_back(self, text: int, heads: int) -> bool:
+        """Whether it belongs to the page's text; ``text`` and ``heads`` are those of the page."""
+        share = self.text / text if text else 0
+        if self.heads and share >= HEADED:
+            return True
+        if self.heads == heads and share >= (NEARLY_ALL if self.words & (COMMENTS | SELLING) else MOST):
+            return True
+        reads = self.prose >= PROSE and self.prose >= PROSE_SHARE * self.text
+        return self.in_article and reads and not self.words & (COMMENTS | SELLING)
 
 
 class _Page:
     """Lines of one page: text, characters in links, and whether they lie in an article."""
 
-    def __init__(self) -> None:
+    def __init__(self, taken_back: frozenset[int] = frozenset()) -> None:
         self.lines: list[tuple[str, int, bool]] = []
         self.pieces: list[str] = []
         self.in_links = 0
-        # Open elements: name, whether dropped, outermost article (number or 0), in a link, container.
-        self.open: list[tuple[str, bool, int, bool, int]] = [("", False, 0, False, 0)]
+        # Open elements: name, whether dropped (SOFT by class words), outermost article (number or
+        # 0), in a link, container, suspect (number or None).
+        self.open: list[tuple] = [("", False, 0, False, 0, None)]
+        self.opened: Counter[str] = Counter()
         # The container around each container; containers of the whole page.
         self.around, self.names, self.page = [0], [""], {0}
+        # Subtrees named by class words, those taken back, and what there was of text so far.
+        self.suspects: list[_Suspect] = []
+        self.taken_back = taken_back
+        self.chars = self.prose = self.heads = 0
 
     def text(self, raw: str) -> None:
-        _, dropped, _, linked, _ = self.open[-1]
-        if raw and not dropped:
+        _, dropped, _, linked, *_ = self.open[-1]
+        if raw and dropped in (False, SOFT):
             plain = html.unescape(raw) if "&" in raw else raw
             self.pieces.append(plain)
             if linked:
@@ -111,9 +166,28 @@ class _Page:
         if self.pieces:
             line = " ".join("".join(self.pieces).split())
             if line:
-                self.lines.append((line, self.in_links, self.open[-1][2], self.open[-1][4]))
+                weight = _weight(line, self.in_links)
+                self.chars += weight
+                if weight >= PROSE_LINE and SENTENCE.search(line):
+                    self.prose += weight
+                if not self.open[-1][1]:
+                    self.lines.append((line, self.in_links, self.open[-1][2], self.open[-1][4]))
         self.pieces, self.in_links = [], 0
 
+    def close(self, at: int) -> None:
+        """Take the open elements from a place on off the stack."""
+        for name, *_, suspect in self.open[at:]:
+            self.opened[name] -= 1
+            if suspect is not None:
+                self.settle(suspect)
+        del self.open[at:]
+
+    def settle(self, number: int) -> None:
+        """What a suspect holds, from the counts at its start and now."""
+        one = self.suspects[number]
+        one.text, one.prose = self.chars - one.text, self.prose - one.prose
+        one.heads = self.heads - one.heads
+
     def blank(self) -> None:
         """Blank lines, with the container in which something was dropped."""
         if not self.lines or self.lines[-1][0] or self.lines[-1][3] != self.open[-1][4]:
@@ -127,11 +201,21 @@ class _Page:
             self._close_paragraph()
         if name in VOID or rest.endswith("/") and name in ("path", "rect", "circle", "use"):
             return
-        _, dropped, article, linked, inside = self.open[-1]
-        if not dropped and _boilerplate(name, rest, article):
-            dropped = True
-            if name not in INLINE:
+        _, dropped, article, linked, inside, _ = self.open[-1]
+        suspect = None
+        if dropped in (False, SOFT):
+            surely, words = _boilerplate(name, rest, article)
+            surely = surely or bool(words) and name in INLINE
+            self.heads += not surely and (name == "h1" or not words and name in ("article", "main"))
+            if words and not surely:
+                suspect = len(self.suspects)
+                self.suspects.append(
+                    _Suspect(words, bool(article), self.chars, self.prose, self.heads)
+                )
+            softly = suspect is not None and suspect not in self.taken_back
+            if (surely or softly) and name not in INLINE and not dropped:
                 self.blank()
+            dropped = True if surely else dropped or (SOFT if softly else False)
         if name not in INLINE:
             self.around.append(inside)
             self.names.append(name)
@@ -140,13 +224,16 @@ class _Page:
                 self.page.add(inside)
             if name in ("article", "main") and not dropped:
                 article = article or inside
-        self.open.append((name, dropped, article, linked or name == "a", inside))
+        self.opened[name] += 1
+        self.open.append((name, dropped, article, linked or name == "a", inside, suspect))
 
     def _close_paragraph(self) -> None:
         """A block ends an open paragraph and the inline elements left open in it."""
+        if not self.opened["p"]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at][0] == "p":
-                del self.open[at:]
+                self.close(at)
                 return
             if self.open[at][0] not in INLINE:
                 return
@@ -154,10 +241,12 @@ class _Page:
     def end(self, name: str) -> None:
         if name not in INLINE:
             self.end_line()
+        if not self.opened[name]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at][0] == name:
                 was = self.open[at][1]
-                del self.open[at:]
+                self.close(at)
                 if was and not self.open[-1][1]:
                     self.blank()
                 return
@@ -165,9 +254,12 @@ class _Page:
                 return
 
 
-def page_lines(page: str) -> _Page:
-    """Lines of a page (text, characters in links, article, container) and its containers."""
-    found, at, n = _Page(), 0, len(page)
+def page_lines(page: str, taken_back: frozenset[int] = frozenset()) -> _Page:
+    """Lines of a page (text, characters in links, article, container) and its containers.
+
+    ``taken_back`` are the numbers of the subtrees that class words name and that stay nevertheless.
+    """
+    found, at, n = _Page(taken_back), 0, len(page)
     while at < n:
         match = TAG.search(page, at)
         if match is None:
@@ -187,9 +279,25 @@ def page_lines(page: str) -> _Page:
         else:
             found.start(name, match["rest"] or match["rest2"] or "")
     found.end_line()
+    found.close(1)
     return found
 
 
+def _without_responses(found: _Page) -> None:
+    """Drop what follows a heading over comments, as far as the container of the heading goes."""
+    lines, at = found.lines, 0
+    while at < len(lines):
+        text, _, _, inside = lines[at]
+        if re.fullmatch(r"h[2-6]", found.names[inside]) and AFTER_TEXT.fullmatch(text):
+            home, end = found.around[inside], at + 1
+            while end < len(lines) and _within(found, lines[end][3], home):
+                end += 1
+            lines[at:end] = [("", 0, 0, home)] * WINDOW
+            at += WINDOW
+        else:
+            at += 1
+
+
 def _runs(weights: np.ndarray) -> list[tuple[int, int]]:
     """Surge and dive points: line ranges over which the window sums are not zero."""
     if not len(weights):
@@ -269,6 +377,23 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = page_lines(page)
+    back = {k for k, one in enumerate(found.suspects) if one.taken_back(found.chars, found.heads)}
+    if back:
+        found = page_lines(page, frozenset(back))
+    text = _text_of(found)
+    if not text and found.chars:
+        # Class words leave nothing: they do not count here.
+        found = page_lines(page, frozenset(range(len(found.suspects))))
+        text = _text_of(found)
+    if not text:
+        # Nothing but links: those of the article, or else of the page.
+        lines = [line for line in found.lines if line[2]] or found.lines
+        text = "\n".join(line[0] for line in lines if line[0])
+    return text
+
+
+def _text_of(found: _Page) -> str:
+    _without_responses(found)
     lines = _apart(_joined(found))
     weights = np.array([_weight(t, n) for t, n, *_ in lines], dtype=np.int64)
     articles = np.array([article for _, _, article, _ in lines], dtype=np.int64)

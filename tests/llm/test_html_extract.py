@@ -1,6 +1,8 @@
 import html as H
 import re
 
+import pytest
+
 from newsflow.llm import html_extract as X
 from tests.llm.conftest import rows_of
 
@@ -128,3 +130,60 @@ def test_unclassed_link_list_inside_main():
     assert X.main_text(page.replace("<p><a href='/'>One</a></p>", "")) == f"Title\n{LONG.strip()}\nEnd."
     page = f"<main><p>{LONG}</p><p><a href='/'>One</a></p><p>End.</p></main>"
     assert X.main_text(page) == f"{LONG.strip()}\nOne\nEnd."
+
+
+PROSE = "The council met on Monday to discuss the plan, and members agreed after a long debate. " * 3
+BODY = f"<h1>Head</h1><p>{PROSE}</p><p>Second. {PROSE}</p>"
+WHOLE = f"Head\n{PROSE.strip()}\nSecond. {PROSE.strip()}"
+MENU = "<nav><a href=x>Home</a><a href=y>News</a></nav>"
+
+
+@pytest.mark.parametrize("shape", [
+    '<article class="post category-social">%s</article>', '<article class="post tag-reply">%s</article>',
+    '<article class="post type-post status-publish format-standard category-ads tag-menu">%s</article>',
+    '<article id="post-12" class="topic-comments">%s</article>', '<div class="layout menu-left">%s</div>',
+    '<div class="site modal-open">%s</div>', '<div class="site modal-open"><article>%s</article></div>',
+    '<div class="comment-free">%s</div>', '<div class="page search-results"><main>%s</main></div>',
+    '<div id="page" class="has-sidebar">%s</div>', '<div class="no-comments">%s</div>',
+    '<div class="sidebar-right"><div class="content">%s</div></div>', '<div class="overlay">%s</div>',
+    '<article class="sponsored">%s</article>', '<main class="menu">%s</main>', '<div class="share">%s</div>',
+    '<article>%s<div class="comments"><h2>Comments</h2><p>' + PROSE * 4 + "</p></div></article>",
+    '<main>%s<h2>3 Comments</h2><div><p>Nice. ' + PROSE + "</p></div></main>",
+    '<main>%s<section><h3>Leave a reply</h3><p>Write something nice.</p></section></main>',
+    '<article>%s<div class="ad">Buy now. Buy this. Buy more.</div></article>',
+    '<div class="ad">' + PROSE + "</div><article>%s</article>", '<div class="cookie">We use cookies.</div>%s',
+    '<article>%s</article><div class="related"><h3>More</h3><p>A teaser.</p></div>',
+    '<article>%s<div class="newsletter"><p>' + PROSE + PROSE + "</p></div></article>",
+    '<article>%s<ul class="share"><li><a href=a>Tweet</a><li><a href=b>Mail</a></ul></article>',
+    '<div class="wrap popup-ready"><div class="menu"><p>Menu</p></div><div class="post">%s</div></div>',
+])
+def test_class_words_do_not_decide_about_articles(shape):
+    page = f"<html><body>{MENU}{shape % BODY}<footer>c 2024</footer></body></html>"
+    assert X.main_text(page) == WHOLE
+
+
+def test_a_section_of_the_article_named_like_a_menu():
+    for word in ("search-engines", "social", "respond-to-alerts", "footer-notes"):
+        section = f'<section id="{word}"><h2>Part</h2><p>{PROSE}</p><p>{PROSE}</p></section>'
+        found = X.main_text(f"<main>{BODY}{section}</main>")
+        expected = WHOLE if "respond" in word else f"{WHOLE}\nPart\n{PROSE.strip()}\n{PROSE.strip()}"
+        assert found == expected
+
+
+def test_pages_with_text_are_never_empty():
+    for page in ("<article><p><a href=x>All of it is a link</a></p></article>", "<div class=ad>Only this.</div>",
+                 "<p class=comment>One line", "<a href=x>link</a>", "<div class=menu><ul><li>a<li>b</ul></div>"):
+        assert X.main_text(f"<html><body>{page}</body></html>")
+    assert X.main_text("<html><body><nav>Menu</nav><script>x</script></body></html>") == ""
+
+
+def test_time_grows_in_proportion_on_nested_pages():
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        X.main_text("<div>" * n + "x" + "</p>" * n + "<b>" * n + "</i>" * n + "<div class=ad>" * n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(32_000) < 40 * max(seconds(2000), 0.01)
