@@ -497,4 +497,8 @@ ORACLES: dict[str, str] = {
     "dashboard_source_stats": f"""SELECT source, {mean('sentiment_compound', 'sentiment_compound')},
         {mean('text_length', 'text_length')}, count(*) AS count FROM {EVENTS} GROUP BY source""",
     "filtered_latest": latest(CHOSEN),
+    "tallied_kpis": key_figures(CHOSEN),
+    "tallied_keywords": keyword_counts(CHOSEN, "trim(k)"),
+    "tallied_source_stats": f"""SELECT source, {mean('sentiment_compound', 'sentiment_compound')},
+        {mean('text_length', 'text_length')}, count(*) AS count FROM {EVENTS} GROUP BY source""",
 }

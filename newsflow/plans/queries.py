@@ -14,6 +14,7 @@ from newsflow.functions import text as X
 from newsflow.functions.entities import html_unescape
 from newsflow.operators import dashboard as D
 from newsflow.operators import reports as R
+from newsflow.operators import tallies as TL
 from newsflow.operators.enrich import enrich_text, process_articles
 from newsflow.operators.identity import article_id, dedupe_first_wins
 from newsflow.operators.sentiment import score_with_marks
@@ -322,6 +323,17 @@ def all_reports(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _tallied(kind: str, view: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """A figure from the tallies of four batches of the articles, added up."""
+
+    def rolled_up(df: DataFrame) -> DataFrame:
+        batch = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(4))
+        parts = [TL.TALLIES[kind](df.where(batch == k)) for k in range(4)]
+        return view(TL.combine(kind, reduce(DataFrame.unionByName, parts)))
+
+    return rolled_up
+
+
 KPIS = ("avg_sentiment", "positive_pct", "avg_length")
 
 QUERIES: dict[str, Query] = {
@@ -390,6 +402,11 @@ QUERIES: dict[str, Query] = {
     "dashboard_source_stats": _over_events(
         D.SOURCE_STATS.over, "sentiment_compound", "text_length"
     ),
+    "tallied_kpis": _over_events(_tallied("facets", lambda t: D.tallied_kpis(_chosen(t))), *KPIS),
+    "tallied_keywords": _over_events(_tallied("keywords", lambda t: TL.top_keywords(_chosen(t)))),
+    "tallied_source_stats": _over_events(
+        _tallied("facets", D.SOURCE_STATS.roll_up), "sentiment_compound", "text_length"
+    ),
     "filtered_latest": _over_events(
         lambda df: R.latest_articles(_chosen(df)), "sentiment_compound"
     ),

@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from math import ceil
 
@@ -113,6 +113,11 @@ class State:
         if "run" in entry:
             self.batches.setdefault(entry["run"], set()).add(entry["batch_id"])
 
+    def known(self) -> tuple[dict[str, int], dict[str, set[int]]]:
+        """All stored batches, in a form that can be compared."""
+        upto = {run: n for run, n in self.upto.items() if n >= 0}
+        return upto, {run: n for run, n in self.batches.items() if n}
+
     def advance(self) -> None:
         """Keep the batches of a run without a gap as one number."""
         for run, numbers in self.batches.items():
@@ -186,6 +191,11 @@ class StoredTable:
         self.files.write(f"{LOG}/{name}", json.dumps(entry))
         return True
 
+    def batch_folders(self, run: str, batch_id: int) -> list[str]:
+        """Live folders of one batch that is not merged yet."""
+        prefix = f"run={run}/batch_id={batch_id}/"
+        return [folder for folder in self.state().live if folder.startswith(prefix)]
+
     def folders(self, since: str | None = None, until: str | None = None) -> list[str]:
         """Live folders, of dates within bounds (both included) only; no date lies in no bounds."""
         live = self.state().live
@@ -201,10 +211,15 @@ class StoredTable:
         return self.spark.read.schema(schema).parquet(*paths)
 
     def compact(
-        self, target_bytes: int = TARGET_BYTES, least: int = LEAST_FOLDERS
+        self,
+        target_bytes: int = TARGET_BYTES,
+        least: int = LEAST_FOLDERS,
+        combine: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         """Merge the small folders of every date; the number of folders taken out.
 
+        ``combine`` may reduce the rows that are merged, to sums for instance.
+
         A stream may go on writing: its batches are neither lost nor doubled. One merge runs at a
         time; a second one is refused by an error. After a crash ``release`` lets the next one in.
         """
@@ -214,7 +229,9 @@ class StoredTable:
             by_date: dict[str, list[str]] = {}
             for folder in self.state().live:
                 by_date.setdefault(date_of(folder), []).append(folder)
-            taken = sum(self._merge(date, mine, target_bytes, least) for date, mine in sorted(by_date.items()))
+            taken = 0
+            for date, mine in sorted(by_date.items()):
+                taken += self._merge(date, mine, target_bytes, least, combine)
             if taken:
                 self.snapshot()
             return taken
@@ -225,7 +242,7 @@ class StoredTable:
         """Let the next merge in."""
         self.files.delete(f"{LOG}/merging")
 
-    def _merge(self, date: str, folders: list[str], target_bytes: int, least: int) -> int:
+    def _merge(self, date: str, folders: list[str], target_bytes: int, least: int, combine) -> int:
         sizes = {folder: self.files.bytes_of(folder) for folder in folders}
         small = [folder for folder in folders if sizes[folder] < target_bytes // 2]
         if len(small) < least:
@@ -233,6 +250,7 @@ class StoredTable:
         parts = max(1, ceil(sum(sizes[f] for f in small) / target_bytes))
         merged = f"run=merged/batch_id=0/try={uuid.uuid4().hex}/date={date}"
         rows = self.spark.read.parquet(*[f"{self.path}/{folder}" for folder in small])
+        rows = combine(rows) if combine else rows
         rows.coalesce(parts).write.parquet(f"{self.path}/{merged}")
         name = f"merge-{time.time_ns():020d}-{uuid.uuid4().hex}.json"
         self.files.write(f"{LOG}/{name}", json.dumps({"adds": [merged], "removes": small}))

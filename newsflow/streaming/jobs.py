@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsflow.operators.identity import dedupe_stream
+from newsflow.operators.tallies import TalliedTable
 from newsflow.sources.articles import decode_articles, malformed_messages, read_processed
 from newsflow.sources.feeds import attach_category, normalize_articles, read_feeds
 from newsflow.sources.stored import StoredTable
@@ -51,14 +52,20 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return run
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, run: str) -> bool:
+def write_batch(
+    df: DataFrame,
+    batch_id: int,
+    path: str,
+    run: str,
+    store: type[StoredTable] | type[TalliedTable] = StoredTable,
+) -> bool:
     """Store one micro-batch by date of processing; False if it is stored already.
 
     The batch can be read once all of it is there. A replay of a stored batch writes nothing; one of
     a batch that failed half-way writes it anew. No other run has its folder.
     """
     dated = df.withColumn("date", F.to_date("processed_at"))
-    return StoredTable(df.sparkSession, path).append(dated, run, batch_id)
+    return store(df.sparkSession, path).append(dated, run, batch_id)
 
 
 def show_batch(df: DataFrame, batch_id: int, rows: int = 20) -> None:
@@ -77,6 +84,7 @@ def start_processing(
     console_rows: int = 20,
     quarantine: str | None = None,
     compact_every: int | None = None,
+    tallies: bool = False,
 ) -> StreamingQuery:
     """Decode, process and store a stream of messages.
 
@@ -85,7 +93,8 @@ def start_processing(
     checkpoint under the checkpoint root, so changing between ``parquet`` and ``both`` goes on where
     the other stopped. The console shows ``console_rows`` rows of a batch. Messages that are no JSON
     object are stored under the path ``quarantine``, if given, in the same way. With
-    ``compact_every`` the small folders of the table are merged after every so many batches.
+    ``compact_every`` the small folders of the table are merged after every so many batches; with
+    ``tallies`` each batch's figures for the dashboard are stored beside it (``operators/tallies.py``).
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}: choose one of {', '.join(SINKS)}")
@@ -106,9 +115,10 @@ def start_processing(
             articles = articles.persist()
         try:
             if "parquet" in targets:
-                write_batch(articles, batch_id, path, run)
+                store = TalliedTable if tallies else StoredTable
+                write_batch(articles, batch_id, path, run, store)
                 if compact_every and batch_id % compact_every == compact_every - 1:
-                    StoredTable(spark, path).compact()
+                    store(spark, path).compact()
             if "console" in targets:
                 show_batch(articles, batch_id, console_rows)
         finally:
