@@ -31,7 +31,7 @@ BLANKS = B.byte_table(b"\x20\x09\x0a\x0b\x0c\x0d")
 PART, PIECES = 32 << 20, 16
 # Windows that a class of minimisers may have before its windows are dealt out singly, the windows
 # that it should have, and the most classes (as a power of two).
-HEAVY, CLASS, CLASS_BITS = 1 << 16, 1 << 13, 22
+HEAVY, CLASS, CLASS_BITS = 1 << 18, 1 << 13, 22
 LAST = (1 << 63) - 1
 PACKED = (
     "part int, ranks array<long>, ties array<long>, texts array<int>, starts array<int>, "
@@ -115,7 +115,7 @@ def _packer(window: int, gram: int, parts: int, heavy: np.ndarray):
 
     def pack(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(packed_flags, count=1 << bits).astype(bool)
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = zstandard.ZstdCompressor(level=6).compress
         for block in B.blocks(frames):
             # Rows repeated with one id and text are one document.
             rows = list({(r["rank"], r["tie"]): r for r in block}.values())
@@ -235,7 +235,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 3
 ) -> DataFrame:
     """Spans of words (rank, tie, start, n) covered by windows that also start in a smaller document.
 
@@ -282,7 +282,7 @@ def _remover(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 3
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed and text, the words kept.
 
