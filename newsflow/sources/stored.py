@@ -93,7 +93,8 @@ class Files:
 
 @dataclass
 class State:
-    """Live folders (with their dates at the end), the last batch of every run, entries read."""
+    """Live folders (with their dates at the end), the batches of every run, and the entries in the
+    log that this state contains."""
 
     live: dict[str, None] = field(default_factory=dict)
     batches: dict[str, set[int]] = field(default_factory=dict)
@@ -167,6 +168,7 @@ class StoredTable:
         # Batches first: a merge only takes out what batches, or merges before it, have added.
         for name in [n for n in names if n.startswith("batch-")] + [n for n in names if n.startswith("merge-")]:
             if name in covered:
+                state.entries.append(name)  # left over by a snapshot that did not come to its end
                 continue
             text = self.files.read(f"{LOG}/{name}")
             if text is None:

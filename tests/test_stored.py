@@ -99,6 +99,22 @@ def test_of_two_merges_of_one_folder_the_first_counts(spark, table):
     assert ids(table) == list(range(40))
 
 
+def test_a_snapshot_that_does_not_end_doubles_nothing(spark, table, monkeypatch):
+    for k in range(4):
+        table.append(batch(spark, 10 * k), "r", k)
+    with monkeypatch.context() as m:
+        m.setattr(type(table.files), "delete", lambda *_: None)
+        table.compact()  # nothing that it covers goes
+    assert ids(table) == list(range(40))
+    table.release()
+    table.append(batch(spark, 40), "r", 4)
+    table.snapshot()
+    assert ids(table) == list(range(50))
+    assert [n for n, _ in table.files.listed(LOG) if n.startswith(("batch-", "merge-"))] == []
+    table.append(batch(spark, 50), "r", 5)
+    assert ids(table) == list(range(60)) and not table.append(batch(spark, 0), "r", 1)
+
+
 def test_one_merge_at_a_time(spark, table):
     table.append(batch(spark, 0), "r", 0)
     table.files.claim(f"{LOG}/merging")
