@@ -74,6 +74,23 @@ def ranked(source: str, key: str, text: str) -> str:
         FROM ({frequency(source, key, text)})) WHERE rank <= 10"""
 
 
+# Stop words of the corpus beside the fixed ones
+
+CORPUS_STOP_WORDS = f"""SELECT word, count(*) AS n FROM (
+        SELECT DISTINCT doc_id, word FROM ({exploded('documents', 'doc_id', words('text'))}))
+    GROUP BY word HAVING count(*) * 100 >= (SELECT count(*) FROM documents) * 20"""
+STOP_TABLE_TOKENS = f"""SELECT doc_id, pos, word
+    FROM ({exploded('documents', 'doc_id', words('text'))})
+    WHERE word NOT IN ({STOP}) AND word NOT IN (SELECT word FROM ({CORPUS_STOP_WORDS}))"""
+STOP_TABLE_KEYWORDS = f"""SELECT d.doc_id, coalesce(k.keywords, '') AS keywords
+    FROM documents d LEFT JOIN (
+        SELECT doc_id, string_agg(word, ',' ORDER BY rank) AS keywords FROM (
+            SELECT doc_id, word, row_number() OVER (
+                PARTITION BY doc_id ORDER BY count(*) DESC, min(pos)) AS rank
+            FROM ({STOP_TABLE_TOKENS}) GROUP BY doc_id, word)
+        WHERE rank <= 10 GROUP BY doc_id
+    ) k ON d.doc_id = k.doc_id"""
+
 PAGE_HOST = "regexp_extract(url, '^https?://([^/:?#]+)', 1)"
 CATEGORY_LIST = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
 PAGE_CATEGORY = f"{CATEGORY_LIST}[CAST(page_id % 4 + 1 AS INTEGER)]"
@@ -407,6 +424,11 @@ ORACLES: dict[str, str] = {
     "term_frequency": frequency("documents", "doc_id", "text"),
     "top_terms_per_article": ranked("documents", "doc_id", "text"),
     "article_keywords": f"SELECT doc_id, keywords FROM ({with_keywords(ENRICHED, 'doc_id')})",
+    "corpus_stop_words": CORPUS_STOP_WORDS,
+    "stop_table_tokens": STOP_TABLE_TOKENS,
+    "stop_table_tokens_joined": STOP_TABLE_TOKENS,
+    "stop_table_keywords": STOP_TABLE_KEYWORDS,
+    "stop_table_keywords_joined": STOP_TABLE_KEYWORDS,
     "lexicon_sentiment": scores(DOCUMENTS_CLEAN, False),
     "lexicon_sentiment_joined": scores(DOCUMENTS_CLEAN, False),
     "context_sentiment": scores(DOCUMENTS_CLEAN, True),

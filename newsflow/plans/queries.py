@@ -18,6 +18,12 @@ from newsflow.operators import tallies as TL
 from newsflow.operators.enrich import enrich_text, process_articles
 from newsflow.operators.identity import article_id, dedupe_first_wins
 from newsflow.operators.sentiment import score_with_marks
+from newsflow.operators.stopwords import (
+    add_keywords,
+    drop_stop_rows,
+    frequent_words,
+    prepare_stop_words,
+)
 from newsflow.plans import adapters as A
 from newsflow.sources.articles import decode_articles, encode_articles, malformed_messages
 from newsflow.sources.feeds import (
@@ -32,6 +38,8 @@ from newsflow.sources.feeds import (
 from newsflow.sources.lexicons import parse_lexicon
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Words in so many of 100 documents are stop words of the corpus.
+STOP_PERCENT = 20
 # Filter choices used where a view is shown over a selection.
 CATEGORY, SENTIMENT = "click", "positive"
 
@@ -109,6 +117,29 @@ def article_keywords(spark, sf):
     return _enriched(spark, sf).select("doc_id", "keywords")
 
 
+def corpus_stop_words(spark, sf):
+    """Words of at least a fifth of the documents, and in how many they stand."""
+    return frequent_words(A.texts(spark, sf, "documents", "doc_id", "text"), STOP_PERCENT)
+
+
+def _stop_table(spark, sf):
+    """The fixed stop words and those of the corpus, as a caller's table."""
+    fixed = spark.createDataFrame([(w,) for w in K.STOP_WORDS], "word string")
+    return prepare_stop_words(fixed.union(corpus_stop_words(spark, sf).select("word")))
+
+
+def _stop_table_tokens(lookup: str) -> Query:
+    return lambda spark, sf: drop_stop_rows(
+        tokenize(spark, sf), _stop_table(spark, sf), "doc_id", lookup
+    )
+
+
+def _stop_table_keywords(lookup: str) -> Query:
+    return lambda spark, sf: add_keywords(
+        _documents(spark, sf, F.col("text")), _stop_table(spark, sf), "text", lookup=lookup
+    ).select("doc_id", "keywords")
+
+
 # Sentiment
 
 
@@ -352,6 +383,11 @@ QUERIES: dict[str, Query] = {
     "term_frequency": term_frequency,
     "top_terms_per_article": top_terms_per_article,
     "article_keywords": article_keywords,
+    "corpus_stop_words": corpus_stop_words,
+    "stop_table_tokens": _stop_table_tokens("row"),
+    "stop_table_tokens_joined": _stop_table_tokens("join"),
+    "stop_table_keywords": _stop_table_keywords("row"),
+    "stop_table_keywords_joined": _stop_table_keywords("join"),
     "lexicon_sentiment": lexicon_sentiment,
     "lexicon_sentiment_joined": lexicon_sentiment_joined,
     "context_sentiment": context_sentiment,
