@@ -137,42 +137,37 @@ QUERIES: dict[str, Query] = {
 
 
 def _license_sql() -> str:
-    """The scan in DuckDB: sentences and rules are written out from the operator's tables."""
-
-    def known(pieces: str) -> str:
-        plain = "trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))"
-        return (
-            f"list_filter(list_transform({pieces}, lambda p: k.m[{plain}]), "
-            "lambda x: x IS NOT NULL)"
-        )
-
-    def rule(ids: list[str]) -> str:
-        return "chain LIKE '%" + "%".join(f" {i} " for i in ids) + "%'"
-
-    table = ", ".join(f"'{s}': '{i}'" for s, i in licenses.SENTENCES.items())
-    white = r"[ \t\n\x0B\f\r]"
-    marks = rf"[.!?;:]+({white}|$)|[\r\n]+{white}*[\r\n]+"
-    lines = rf"[.!?]+({white}|$)|[\r\n]+"
-    found = ", ".join(
-        f"CASE WHEN {' OR '.join(map(rule, rules))} THEN '{name}' END"
-        for name, rules in sorted(licenses.RULES.items())
-    )
+    """The licences of plain notices, stated by hand, in DuckDB: nothing of the operator's own tables,
+    breaks or rules is used."""
+    stated = {
+        "the apache license version 2 0": "Apache-2.0",
+        "the mit license": "MIT",
+        "the gnu general public license version 3": "GPL-3.0",
+        "the gnu general public license version 2": "GPL-2.0",
+        "cc by 4 0": "CC-BY-4.0",
+        "cc by nc 4 0": "CC-BY-NC-4.0",
+        "cc by sa 4 0": "CC-BY-SA-4.0",
+        "the mozilla public license version 2 0": "MPL-2.0",
+    }
+    verbs = ("licensed under", "released under", "this work is licensed under")
+    notices = {f"{v} {n}": f"{k}:notice" for v in verbs for n, k in stated.items()}
+    table = ", ".join(f"'{s}': '{i}'" for s, i in {**notices, "all rights reserved": "reserved"}.items())
     return f"""
-        WITH k AS (SELECT MAP {{{table}}} AS m), d AS (
-            SELECT doc_id, {known(f"regexp_split_to_array(coalesce(text, ''), '{marks}')")} AS a,
-                   {known(f"regexp_split_to_array(coalesce(text, ''), '{lines}')")} AS b
-            FROM documents, k
+        WITH k AS (SELECT MAP {{{table}}} AS m), p AS (
+            SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?]+([ \\t\\n\\r]|$)|[\\r\\n]+')
+                AS pieces FROM documents
         ), s AS (
-            SELECT doc_id, list_concat(a, list_filter(b, lambda x, i:
-                list_position(b, x) = i AND NOT list_contains(a, x))) AS ids
-            FROM d
-        ), c AS (
-            SELECT doc_id, ids, ' ' || array_to_string(ids, '  ') || ' ' AS chain FROM s
+            SELECT doc_id, list_filter(list_transform(pieces, lambda p:
+                k.m[trim(regexp_replace(lower(p), '[^a-z0-9]+', ' ', 'g'))]),
+                lambda x: x IS NOT NULL) AS ids FROM p, k
+        ), n AS (
+            SELECT doc_id, ids, list_sort(list_distinct(list_transform(list_filter(ids,
+                lambda x: x <> 'reserved'), lambda x: replace(x, ':notice', '')))) AS named FROM s
         )
-        SELECT doc_id, coalesce(array_to_string([{found}], ','), '') AS licenses,
-               coalesce(array_to_string(ids, ','), '') AS sentences
-        FROM c
-    """
+        SELECT doc_id, array_to_string(ids, ',') AS sentences,
+            CASE WHEN len(named) > 0 THEN array_to_string(named, ',')
+                WHEN len(ids) > 0 THEN 'Proprietary' ELSE '' END AS licenses
+        FROM n"""
 
 
 _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
