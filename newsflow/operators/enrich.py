@@ -9,23 +9,28 @@ from newsflow.functions import keywords as K
 from newsflow.functions import sentiment as S
 from newsflow.functions import text as X
 from newsflow.operators.sentiment import Marks, score_with_marks
+from newsflow.operators.stopwords import StopWords, add_keywords
 from newsflow.schemas import PROCESSED
 
 
-def enrich_text(df: DataFrame, top_n: int = K.TOP_N) -> DataFrame:
-    """Add ``title_clean``, ``full_text``, ``keywords`` and ``text_length`` to raw articles."""
+def enrich_text(
+    df: DataFrame, top_n: int = K.TOP_N, stop_words: StopWords | None = None
+) -> DataFrame:
+    """Add ``title_clean``, ``full_text``, ``keywords`` and ``text_length`` to raw articles.
+
+    ``stop_words`` (see ``prepare_stop_words``) stand in place of the fixed ones.
+    """
     # The three fields are cleaned in one pass over the rows.
     cleaned = {f"_{c}": X.clean(F.col(c)) for c in ("title", "summary", "content")}
     joined = df.withColumns(cleaned).withColumn(
         "full_text", X.join_text(*(F.col(c) for c in cleaned))
     )
     joined = joined.withColumn("title_clean", F.col("_title")).drop(*cleaned)
-    return joined.withColumns(
-        {
-            "keywords": K.extract_keywords(F.col("full_text"), top_n),
-            "text_length": F.length("full_text"),
-        }
-    )
+    keywords = K.extract_keywords(F.col("full_text"), top_n)
+    if stop_words is None:
+        return joined.withColumns({"keywords": keywords, "text_length": F.length("full_text")})
+    measured = joined.withColumn("text_length", F.length("full_text"))
+    return add_keywords(measured, stop_words, "full_text", top_n)
 
 
 def process_articles(
@@ -34,11 +39,13 @@ def process_articles(
     rules: S.Rules = S.Rules(),
     processed_at: Column | None = None,
     lookup: str = "auto",
+    stop_words: StopWords | None = None,
 ) -> DataFrame:
     """Raw articles to the stored schema, scored against marks (see ``prepare_marks``).
 
-    The work is row-local (while the marks are small), so articles are never shuffled.
+    The work is row-local (while the marks are small), so articles are never shuffled
+    (while the stop words are few as well).
     """
-    scored = score_with_marks(enrich_text(df), marks, rules, lookup=lookup)
+    scored = score_with_marks(enrich_text(df, stop_words=stop_words), marks, rules, lookup=lookup)
     stamp = F.current_timestamp() if processed_at is None else processed_at
     return scored.withColumn("processed_at", stamp).select(*PROCESSED.fieldNames())

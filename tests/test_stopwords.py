@@ -6,6 +6,7 @@ import pytest
 
 from newsflow.functions import keywords as K
 from newsflow.operators import stopwords as W
+from newsflow.operators.enrich import enrich_text
 
 TEXTS = [
     (1, "Alpha beta alpha the the gamma."), (2, None), (3, ""), (4, "the the the"),
@@ -89,3 +90,14 @@ def test_frequent_words(spark):
     assert W.frequent_words(df.limit(0), 40).collect() == []
     with pytest.raises(ValueError, match="percent"):
         W.frequent_words(df, 0)
+
+
+def test_articles_by_a_table_of_stop_words(spark, stop):
+    df = spark.createDataFrame(
+        [("The alpha", "beta alpha", None), (None, None, None)],
+        "title string, summary string, content string",
+    )
+    rows = enrich_text(df, stop_words=stop).select("keywords", "text_length").collect()
+    assert sorted(map(tuple, rows)) == [("", 2), ("alpha", 21)]
+    fixed = enrich_text(df).select("keywords").collect()
+    assert sorted(r.keywords for r in fixed) == ["", "alpha,beta"]
