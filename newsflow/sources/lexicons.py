@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.functions.bind import let
+
 # Means in such files are rounded, so they may be off their ratings by this much.
 TOLERANCE = 0.051
 RATINGS = "array<int>"
@@ -24,42 +26,57 @@ def parse_lexicon(
     Tokens keep their case and are trimmed; repeated tokens stay, and scoring takes the largest
     valence of them.
     """
-    field = F.split(F.col(line_col), "\t", -1)
+    line = F.col(line_col)
+    # The generator keeps the parts as columns: filters on them stay above it, so every line is taken
+    # apart once, and not again for each use or (through a distinct) for each copy.
+    parts = let(F.split(line, "\t", -1), lambda field: let(_typed(field), lambda p: _judged(line, p, tolerance)))
+    judged = lines.select("*", F.inline(F.array(parts)))
+    good = judged.where("_reason IS NULL").select(
+        F.col("_token").alias("token"),
+        F.col("_mean").alias("valence"),
+        F.col("_deviation").alias("deviation"),
+        F.col("_ratings").alias("ratings"),
+    )
+    bad = judged.where("_reason IS NOT NULL")
+    return good, bad.select(*lines.columns, F.col("_reason").alias("reason"))
+
+
+def _typed(field: Column) -> Column:
+    """The fields of a line as text and in their types."""
 
     def at(k: int) -> Column:
         return F.nullif(F.trim(F.get(field, F.lit(k))), F.lit(""))
 
-    listed = F.from_json(at(3), RATINGS)
-    parsed = lines.withColumns(
-        {
-            "_fields": F.size(field),
-            "_token": at(0),
-            "_mean": at(1).try_cast("double"),
-            "_deviation": at(2).try_cast("double"),
-            "_ratings": listed,
-        }
+    return F.struct(
+        F.size(field).alias("fields"),
+        at(0).alias("token"),
+        at(1).try_cast("double").alias("mean"),
+        at(2).isNotNull().alias("has_deviation"),
+        at(2).try_cast("double").alias("deviation"),
+        at(3).isNotNull().alias("has_ratings"),
+        F.from_json(at(3), RATINGS).alias("ratings"),
     )
-    mean, deviation, ratings = F.col("_mean"), F.col("_deviation"), F.col("_ratings")
+
+
+def _judged(line: Column, p: Column, tolerance: float) -> Column:
+    """The parts of an entry and the first reason against it, or NULL."""
+    mean, deviation, ratings = p["mean"], p["deviation"], p["ratings"]
     total = F.aggregate(ratings, F.lit(0.0), lambda a, x: a + x)
     infinite = F.abs(mean) == F.lit(float("inf"))
     wrong_list = ratings.isNull() | (F.size(ratings) == 0) | F.exists(ratings, lambda x: x.isNull())
     reason = (
-        F.when(F.coalesce(F.trim(line_col), F.lit("")) == "", "blank")
-        .when(~F.col("_fields").between(2, 4), "fields")
-        .when(F.col("_token").isNull(), "token")
+        F.when(F.coalesce(F.trim(line), F.lit("")) == "", "blank")
+        .when(~p["fields"].between(2, 4), "fields")
+        .when(p["token"].isNull(), "token")
         .when(mean.isNull() | F.isnan(mean) | infinite, "mean")
-        .when(at(2).isNotNull() & (deviation.isNull() | F.isnan(deviation) | (deviation < 0)), "deviation")
-        .when(at(3).isNotNull() & wrong_list, "ratings")
-        .when(at(3).isNotNull() & (F.abs(total / F.size(ratings) - mean) > tolerance), "unequal")
-    )
-    judged = parsed.withColumn("reason", reason)
-    good = judged.where("reason IS NULL").select(
-        F.col("_token").alias("token"),
-        mean.alias("valence"),
-        deviation.alias("deviation"),
-        ratings.alias("ratings"),
+        .when(p["has_deviation"] & (deviation.isNull() | F.isnan(deviation) | (deviation < 0)), "deviation")
+        .when(p["has_ratings"] & wrong_list, "ratings")
+        .when(p["has_ratings"] & (F.abs(total / F.size(ratings) - mean) > tolerance), "unequal")
     )
-    return good, judged.where("reason IS NOT NULL").select(*lines.columns, "reason")
+    return F.struct(
+        p["token"].alias("_token"), mean.alias("_mean"), deviation.alias("_deviation"),
+        ratings.alias("_ratings"), reason.alias("_reason"),
+    )
 
 
 def read_lexicon(

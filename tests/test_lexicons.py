@@ -74,3 +74,12 @@ def test_phrase_files(spark, tmp_path):
     file.write_text("kiss of death\tidiom\tx\n")
     with pytest.raises(Exception):
         L.read_phrases(spark, str(file)).collect()
+
+
+def test_lines_over_distinct_words_are_taken_apart_once(spark):
+    words = spark.createDataFrame([("good\t1.9",), ("good\t1.9",), ("short",)], "line string").distinct()
+    for part, rows in zip(L.parse_lexicon(words), (1, 1)):
+        assert part.count() == rows
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        # The distinct is below all the parsing, and the line is split in one place.
+        assert plan.count("split(") == 1 and plan.index("split(") < plan.index("Aggregate")
