@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.functions import sentiment as S
+from newsflow.operators import blocks as B
 from newsflow.operators import sentiment as N
 from newsflow.operators.sizing import is_small
 from newsflow.schemas import LEXICON
@@ -152,3 +153,23 @@ def test_copies_of_a_text_all_get_their_score(spark, marks):
 def test_unknown_lookup_is_refused(spark, marks):
     with pytest.raises(ValueError):
         scores(spark, marks, ["x"], lookup="guess")
+
+
+def test_blocks_of_texts_give_the_same_as_the_index(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_BYTES", 40)
+    texts = ["good " * 50, "not GOOD, very bad!", "", None, " 　 ", "a b c", "war? but Good", "not GOOD, very bad!"]
+    rows = [(k, text) for k, text in enumerate(texts * 5)]
+    df = spark.createDataFrame(rows, "k int, full_text string").withColumn("nothing", F.lit(None))
+    parts = (N.sample_lexicon(spark), N.default_boosters(spark), N.default_negations(spark))
+    direct, joined = (N.score_sentiment(df, *parts, lookup=lookup) for lookup in ("index", "join"))
+    assert joined.columns == direct.columns and joined.dtypes == direct.dtypes
+    assert joined.orderBy("k").collect() == direct.orderBy("k").collect()
+
+
+def test_a_word_meets_the_table_once_per_block(spark):
+    df = spark.createDataFrame([(k, "good word " * 500 + str(k)) for k in range(40)], "k int, full_text string")
+    table = spark.createDataFrame([("good", 1)], "token string, mark int")
+    scored = B.look_up_by_blocks(df, "full_text", table, lambda t: F.split(t, " "), lambda t, index: F.size(index))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert scored.count() == 40
+    assert "explode(array_distinct(flatten(" in plan and "posexplode" not in plan
