@@ -2,7 +2,9 @@ import html
 import html.entities
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +114,17 @@ def test_term_frequency(spark):
 def test_full_text_keeps_its_separators(spark, parts, expected):
     df = spark.createDataFrame([parts], "t string, s string, c string")
     assert df.select(X.join_text(F.col("t"), F.col("s"), F.col("c"))).first()[0] == expected
+
+
+def test_cleaning_holds_few_texts_as_strings(monkeypatch):
+    taken = []
+    monkeypatch.setattr(X.F, "arrow_udf", lambda f, _: taken.append(f) or (lambda column: column))
+    X.clean(None)
+    texts = pa.array([f"<b>{k}</b> é" + "x" * 2000 for k in range(5000)] + [None])
+    tracemalloc.start()
+    out = taken[0](texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 5001 and out[7].as_py() == "7 é" + "x" * 2000 and out[5000].as_py() == ""
+    assert peak < texts.nbytes / 10
+    assert len(taken[0](texts.slice(0, 0))) == 0
