@@ -169,7 +169,9 @@ def test_blocks_of_texts_give_the_same_as_the_index(spark, monkeypatch):
 def test_a_word_meets_the_table_once_per_block(spark):
     df = spark.createDataFrame([(k, "good word " * 500 + str(k)) for k in range(40)], "k int, full_text string")
     table = spark.createDataFrame([("good", 1)], "token string, mark int")
-    scored = B.look_up_by_blocks(df, "full_text", table, lambda t: F.split(t, " "), lambda t, index: F.size(index))
+    scored = B.look_up_by_blocks(
+        df, "full_text", lambda w: w.join(table, "token"), lambda t: F.split(t, " "), lambda t, index: F.size(index)
+    )
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert scored.count() == 40
     assert "explode(array_distinct(flatten(" in plan and "posexplode" not in plan

@@ -101,3 +101,11 @@ def test_articles_by_a_table_of_stop_words(spark, stop):
     assert sorted(map(tuple, rows)) == [("", 2), ("alpha", 21)]
     fixed = enrich_text(df).select("keywords").collect()
     assert sorted(r.keywords for r in fixed) == ["", "alpha,beta"]
+
+
+def test_joined_words_are_those_of_blocks(spark, stop):
+    df = spark.createDataFrame([(k, "alpha the beta " * 99 + "gamma") for k in range(9)], "i int, full_text string")
+    found = W.add_keywords(df, stop, lookup="join")
+    assert {r.keywords for r in found.collect()} == {"alpha,gamma"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(array_distinct(flatten(" in plan and "_salt" not in plan
