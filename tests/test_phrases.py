@@ -1,11 +1,13 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import pytest
 
 from newsflow.functions import phrases as P
 from newsflow.operators import sentiment as N
+from newsflow.plans import adapters as A
 from newsflow.schemas import LEXICON, PHRASES
 
 LEX = {"good": 1.9, "bad": -2.5, "kind": 2.4, "no": -1.2, "great": 3.1, "death": -2.9, "kiss": 1.8,
@@ -137,3 +139,35 @@ def test_tables_of_any_case_repeated_and_empty(spark, monkeypatch):
     monkeypatch.setattr(P, "MAX_CELLS", 3)
     with pytest.raises(ValueError):
         P.build(rows)
+
+
+def _runs_one_by_one(rows, n):
+    return Counter(" ".join(r[k : k + n]) for r in rows for k in range(len(r) - n + 1))
+
+
+@pytest.mark.parametrize("bound, most", [(300, 20_000), (4, 20_000), (4, 5)])
+def test_common_runs_are_counted_exactly(spark, monkeypatch, bound, most):
+    monkeypatch.setattr(A, "BOUND_WORDS", bound)
+    monkeypatch.setattr(A, "MAX_WORDS", most)
+    rng = random.Random(3)
+    words = ["it's", "back\\slash", *"abcdefghijklmnop"]
+    rows = [rng.choices(words, weights=range(18, 0, -1), k=rng.randrange(40)) for _ in range(60)]
+    rows += [["p", "o", "n"]] * 30 + [[], ["q"]]
+    listed = spark.createDataFrame([(r,) for r in rows], "words array<string>")
+    one = spark.createDataFrame(list(_runs_one_by_one(rows, 1).items()), "phrase string, count long")
+    for n in (2, 3):
+        found = {r.phrase: r["count"] for r in A._common_runs(listed, one, n, 10).collect()}
+        expected = _runs_one_by_one(rows, n)
+        last = sorted(expected.values())[-10]
+        assert {p: c for p, c in found.items() if c >= last} == {p: c for p, c in expected.items() if c >= last}
+    assert not A._common_runs(listed.limit(0), one.limit(0), 2, 10).collect()
+
+
+def test_rare_words_make_no_runs(spark):
+    rows = [(["a", "b", "a", "b", f"rare{k}"],) for k in range(400)]
+    listed = spark.createDataFrame(rows, "words array<string>")
+    one = spark.createDataFrame([("a", 800), ("b", 800)] + [(f"rare{k}", 1) for k in range(400)], "phrase string, count long")
+    assert {r.phrase: r["count"] for r in A._common_runs(listed, one, 2, 1).collect() if r["count"] > 1} == {
+        "a b": 800, "b a": 400,
+    }
+    assert A._run_counts(listed, 2, ["a", "b"]).count() == 2
