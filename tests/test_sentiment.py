@@ -175,3 +175,12 @@ def test_a_word_meets_the_table_once_per_block(spark):
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert scored.count() == 40
     assert "explode(array_distinct(flatten(" in plan and "posexplode" not in plan
+
+
+def test_blank_texts_take_no_part_in_the_look_up(spark):
+    df = spark.createDataFrame([(" \t",), ("",), (None,)], "full_text string")
+    fails = F.raise_error(F.lit("worked on"))
+    looked = B.look_up_by_blocks(
+        df, "full_text", lambda w: w.withColumn("mark", F.lit(1)), lambda t: F.array(t), lambda t, index: fails.cast("int")
+    )
+    assert [(r["_blank"], r["_result"]) for r in looked.collect()] == [(True, None)] * 3
