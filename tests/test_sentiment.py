@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from newsflow.functions import sentiment as S
 from newsflow.operators import blocks as B
 from newsflow.operators import sentiment as N
+from newsflow.operators.enrich import process_articles
+from newsflow.plans import adapters as A
 from newsflow.operators.sizing import is_small
 from newsflow.schemas import LEXICON
 
@@ -184,3 +186,44 @@ def test_blank_texts_take_no_part_in_the_look_up(spark):
         df, "full_text", lambda w: w.withColumn("mark", F.lit(1)), lambda t: F.array(t), lambda t, index: fails.cast("int")
     )
     assert [(r["_blank"], r["_result"]) for r in looked.collect()] == [(True, None)] * 3
+
+
+def test_the_values_of_a_block_are_those_of_the_row(spark, marks):
+    """Every rule without phrases, and runs with odd edges, in texts that share a block."""
+    random.seed(5)
+    words = ["good", "GOOD", "Bad", "very", "VERY", "not", "but", "BUT", "don't", "hardly", "war", "x", "İş",
+             "ΣΑΣ", "(good)", "'not'", ":)", "--", "a.", "(a.b)", "«good»", "ﬀ", "1"]
+    gaps = [" ", "  ", "\t", "\u00a0", "\u3000", "\x1c", "\n"]
+    texts = ["".join(random.choice(words) + random.choice(gaps) + random.choice(["", "!", "? "])
+                     for _ in range(random.randrange(30))) for _ in range(150)]
+    for rules in (S.Rules(), S.Rules(context=False)):
+        in_row, joined = (scores(spark, marks, texts, rules=rules, lookup=way) for way in ("index", "join"))
+        assert in_row == joined
+    tokens = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.split_tokens(F.col("t")).alias("w"))
+    assert all([*map(S.token_of(), r["t"].split())] == r["w"] for r in tokens.collect())
+
+
+def test_the_join_scores_texts_without_a_step_per_token(spark, marks):
+    df = spark.createDataFrame([("good day",)], "full_text string")
+    plan = N.score_with_marks(df, marks, lookup="join")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "map_from_entries" not in plan
+
+
+def test_keywords_are_not_made_before_the_look_up(spark, marks, monkeypatch):
+    """What nobody reads of them is then left out by Spark, also where the look-up stores its rows."""
+    stored = []
+    monkeypatch.setattr(B, "written", lambda df, label: stored.append(df.columns) or df)
+    raw = spark.createDataFrame([(1, "t", "s", "good day")], "id int, title string, summary string, content string")
+    raw = raw.withColumns({c: F.lit("x") for c in ("link", "author", "published", "source", "category", "crawled_at")})
+    done = process_articles(raw, marks, lookup="join")
+    assert stored and not any("keywords" in columns for columns in stored)
+    assert done.first()["keywords"] == "good,day"
+
+
+def test_the_words_of_a_corpus_come_from_its_distinct_runs(spark, tmp_path):
+    texts = ["The cat, the CAT", "cat\x1fsat don't", None, "", "x_cat naïve dog\u00a0dog", "dog2 (dog)"]
+    spark.createDataFrame([(t,) for t in texts], "text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["token"] for r in A._corpus_words(spark, str(tmp_path)).collect()} == {"the", "cat", "sat", "don", "dog"}
+    twice = spark.createDataFrame([("one two one",)] * 9, "text string").coalesce(1)
+    assert sorted(r["run"] for r in A.distinct_runs(twice).collect()) == ["one", "two"]
+    assert len(A.distinct_runs(twice, held=20).collect()) > 2
