@@ -128,3 +128,8 @@ def test_cleaning_holds_few_texts_as_strings(monkeypatch):
     assert len(out) == 5001 and out[7].as_py() == "7 é" + "x" * 2000 and out[5000].as_py() == ""
     assert peak < texts.nbytes / 10
     assert len(taken[0](texts.slice(0, 0))) == 0
+
+
+def test_blanked_texts_are_those_of_the_regular_expression(spark):
+    texts = [*EDGES, "a\u00a0b\u3000", "\x0b\x0c\r\n\t x\x1c", "日本\U0001f600e\u0301"]
+    assert apply(spark, texts, X.blanked) == apply(spark, texts, lambda c: F.regexp_replace(c, r"\S", " "))
